@@ -27,8 +27,8 @@ def _rows(names, rows):
     return sorted(tuple(_cell(row[i]) for i in order) for row in rows)
 
 
-def _kind(t: str) -> str:
-    return {"string": "varchar", "int": "integer", "date": "date", "bigint": "bigint", "double": "double"}[t]
+# Type names of the two engines.
+TYPES = {"string": "VARCHAR", "int": "INTEGER", "date": "DATE", "bigint": "BIGINT", "double": "DOUBLE"}
 
 
 def differences(df, con, sql: str) -> str | None:
@@ -38,13 +38,12 @@ def differences(df, con, sql: str) -> str | None:
     theirs = _rows(names, result.fetchall())
     if sorted(names) != sorted(df.columns):
         return f"columns {sorted(set(names) ^ set(df.columns))}"
-    types = {name: str(t).lower() for name, t in zip(names, con.execute(sql).fetch_arrow_table().schema.types)}
     ours = _rows(df.columns, df.collect())
     if len(ours) != len(theirs):
         return f"{len(ours)} rows, expected {len(theirs)}"
     for a, b in zip(ours, theirs):
         if a != b:
             return f"row {[(n, x, y) for n, x, y in zip(sorted(names), a, b) if x != y]}"
-    arrow = {"string": "string", "int": "int32", "date": "date32[day]", "bigint": "int64", "double": "double"}
-    wrong = [(c, t, types[c]) for c, t in df.dtypes if arrow.get(t, t) != types[c]]
+    types = {row[0]: row[1] for row in con.execute(f"describe {sql}").fetchall()}
+    wrong = [(c, t, types[c]) for c, t in df.dtypes if TYPES.get(t, t) != types[c]]
     return f"types {wrong}" if wrong else None
