@@ -323,7 +323,7 @@ SQL = {
     "invalid_ssn_counts": r"""select "SSN", count(*) row_count from attrs
         where not regexp_matches("SSN", '^\d{3}-\d{2}-\d{4}$') group by 1""",
     "age_outliers": _outliers("customer_id, age", "ages", "age"),
-    "price_outliers": _outliers("l_orderkey, l_linenumber, l_extendedprice", "lineitem", "l_extendedprice"),
+    "value_outliers": _outliers('event_id, event_type, "value"', "events", '"value"'),
     "age_bins": "select p as position, l as bin, count(age_bin) row_count from (select unnest("
     + str(list(range(13)))
     + ") p, unnest("

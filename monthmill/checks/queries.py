@@ -54,7 +54,7 @@ def query(f: Query) -> Query:
 
 
 def _doubles(df: DataFrame) -> DataFrame:
-    return df.select(*[F.col(c).cast("double").alias(c) if t == "float" else F.col(c) for c, t in df.dtypes])
+    return df.selectExpr(*[f"cast({c} as double) as {c}" if t == "float" else c for c, t in df.dtypes])
 
 
 def _silver_tables(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
@@ -361,10 +361,9 @@ def age_outliers(spark, sf_dir):
 
 
 @query
-def price_outliers(spark, sf_dir):
-    return profile.iqr_outliers(views.table(spark, sf_dir, "lineitem"), "l_extendedprice").select(
-        "l_orderkey", "l_linenumber", "l_extendedprice"
-    )
+def value_outliers(spark, sf_dir):
+    events = views.table(spark, sf_dir, "events").select("event_id", "event_type", "value")
+    return profile.iqr_outliers(events, "value")
 
 
 @query

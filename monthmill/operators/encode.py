@@ -36,6 +36,7 @@ def multi_hot(df: DataFrame, column: str, values: list[str]) -> DataFrame:
     tested in place instead of exploded, so no row is multiplied.
     """
     keys = [c for c in df.columns if c != column]
-    entries = split_list(F.col(column))
-    hits = [F.coalesce(F.array_contains(entries, v), F.lit(False)).cast("int") for v in values]
-    return df.groupBy(*keys).agg(*[F.max(hit).alias(snake_case(v)) for hit, v in zip(hits, values)])
+    listed = df.withColumn(column, split_list(F.col(column)))
+    return listed.groupBy(*keys).agg(
+        *[F.max(F.when(F.array_contains(column, v), 1).otherwise(0)).alias(snake_case(v)) for v in values]
+    )

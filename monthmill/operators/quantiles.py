@@ -5,7 +5,7 @@
 of a large table in one snapshot either is the whole job's bottleneck. Here
 the wanted rank is found by counting. The first pass counts values in narrow
 buckets on a logarithmic scale and picks the bucket that holds the rank; each
-further pass cuts the picked range into 65,536 slots. Every pass is a map-side
+further pass cuts the picked range into a million slots. Every pass is a map-side
 combined count, a group never has more buckets than the scale has, and equal
 values collapse before the shuffle. For 4-byte floats two passes are exact,
 for int three, for double four.
@@ -18,8 +18,8 @@ from pyspark.sql import functions as F
 
 from .bounded import bounded_broadcast
 
-STEPS_PER_OCTAVE = 256
-SLOTS = 65_536
+STEPS_PER_OCTAVE = 16
+SLOTS = 1 << 20
 # Passes after which a slot is narrower than the gap between two values of the type.
 PASSES = {"float": 2, "tinyint": 2, "smallint": 2, "int": 3}
 
@@ -40,11 +40,8 @@ def quantiles(
     """
     by = by or []
     types = dict(df.select(*wanted).dtypes)
-    long = (
-        df.select(*by, *[F.col(c).cast("double").alias(c) for c in wanted])
-        .unpivot(by, list(wanted), "column", "value")
-        .where(F.col("value").isNotNull())
-    )
+    values = F.expr(_arrays(f"cast(`{c}` as double)" for c in wanted))
+    long = df.select(*by, F.posexplode(values).alias("column", "value")).where(F.col("value").isNotNull())
     picked = _first_pick(long, wanted, by, linear)
     for _ in range(max(PASSES.get(t, 4) for t in types.values()) - 1):
         picked = _narrow(long, picked, by)
@@ -52,8 +49,8 @@ def quantiles(
 
 
 def _bucket(v: Column) -> Column:
-    """A number that never falls as ``v`` rises, at most 1.2 million of them."""
-    magnitude = (F.floor(F.log2(F.abs(v)) * STEPS_PER_OCTAVE) + 300_000).cast("int")
+    """A number that never falls as ``v`` rises, at most 70,000 of them."""
+    magnitude = (F.floor(F.log2(F.abs(v)) * STEPS_PER_OCTAVE) + 20_000).cast("int")
     return (
         F.when(F.isnan(v), 2_000_000)
         .when(v == 0, 0)
@@ -75,6 +72,14 @@ def _counts(df: DataFrame, keys: list[str]) -> DataFrame:
     )
 
 
+def _target(name: str, p: float, end: int) -> str:
+    return f"named_struct('name', '{name}', 'p', {float(p)}D, 'end', {end})"
+
+
+def _arrays(items) -> str:
+    return f"array({', '.join(items)})"
+
+
 def _first_pick(long: DataFrame, wanted, by: list[str], linear: bool) -> DataFrame:
     keys = [*by, "column"]
     group = Window.partitionBy(*keys)
@@ -85,22 +90,7 @@ def _first_pick(long: DataFrame, wanted, by: list[str], linear: bool) -> DataFra
         .withColumn("total", F.sum("rows").over(group))
     )
     ends = [LOWER, UPPER] if linear else [DISCRETE]
-    targets = F.create_map(
-        *[
-            x
-            for c, named in wanted.items()
-            for x in (
-                F.lit(c),
-                F.array(
-                    *[
-                        F.struct(F.lit(name).alias("name"), F.lit(float(p)).alias("p"), F.lit(end).alias("end"))
-                        for name, p in named.items()
-                        for end in ends
-                    ]
-                ),
-            )
-        ]
-    )
+    targets = F.expr(_arrays(_arrays(_target(n, p, e) for n, p in named.items() for e in ends) for named in wanted.values()))
     place = F.col("t.p") * (F.col("total") - 1)
     rank = (
         F.when(F.col("t.end") == LOWER, F.floor(place) + 1)
@@ -108,7 +98,7 @@ def _first_pick(long: DataFrame, wanted, by: list[str], linear: bool) -> DataFra
         .otherwise(F.greatest(F.ceil(F.col("t.p") * F.col("total")), F.lit(1)))
     )
     return (
-        counts.withColumn("t", F.explode(targets[F.col("column")]))
+        counts.withColumn("t", F.explode(F.get(targets, F.col("column"))))
         .withColumn("rank", rank)
         .where((F.col("rank") <= F.col("upto")) & (F.col("rank") > F.col("upto") - F.col("rows")))
         .select(
@@ -145,17 +135,16 @@ def _narrow(long: DataFrame, picked: DataFrame, by: list[str]) -> DataFrame:
 
 
 def _wide(picked: DataFrame, wanted, by: list[str], linear: bool, types: dict[str, str]) -> DataFrame:
-    def pick(c, name, end, what="low"):
-        here = (F.col("column") == c) & (F.col("name") == name) & (F.col("end") == end)
-        return F.max(F.when(here, F.col(what)))
+    def pick(i, name, end, what="low"):
+        return f"max(case when column = {i} and name = '{name}' and end = {end} then {what} end)"
 
     out = []
-    for c, named in wanted.items():
+    for i, (c, named) in enumerate(wanted.items()):
         for name in named:
             if linear:
-                low = pick(c, name, LOWER)
-                value = low + (pick(c, name, UPPER) - low) * pick(c, name, LOWER, "share")
+                low, high, share = pick(i, name, LOWER), pick(i, name, UPPER), pick(i, name, LOWER, "share")
+                value = f"{low} + ({high} - {low}) * {share}"
             else:
-                value = pick(c, name, DISCRETE).cast(types[c])
-            out.append(value.alias(f"{c}_{name}"))
+                value = f"cast({pick(i, name, DISCRETE)} as {types[c]})"
+            out.append(F.expr(f"{value} as `{c}_{name}`"))
     return picked.groupBy(*by).agg(*out)

@@ -17,14 +17,14 @@ def enforce(df: DataFrame, types: dict[str, str], strict: bool = False) -> DataF
     Columns absent from the data are skipped. ``strict`` also puts the columns
     in the order of ``types`` and drops all others.
     """
-    if strict:
-        return df.select(*[F.col(c).try_cast(t).alias(c) for c, t in types.items() if c in df.columns])
-    return df.select(*[F.col(c).try_cast(types[c]).alias(c) if c in types else F.col(c) for c in df.columns])
+    present = df.columns
+    names = [c for c in types if c in present] if strict else present
+    return df.selectExpr(*[f"try_cast(`{c}` as {types[c]}) as `{c}`" if c in types else f"`{c}`" for c in names])
 
 
 def drop_columns(df: DataFrame, names: list[str]) -> DataFrame:
     """All columns but ``names``; the match is case-sensitive, absent names are ignored."""
-    return df.select(*[c for c in df.columns if c not in names])
+    return df.select(*[F.col(f"`{c}`") for c in df.columns if c not in names])
 
 
 def rows_equal(df: DataFrame, column: str, value) -> DataFrame:

@@ -72,7 +72,7 @@ def impute_and_clip(cleaned: DataFrame, statistics: DataFrame) -> DataFrame:
         cap = F.lit(FIXED_CAPS[c]).cast("float") if c in FIXED_CAPS else F.col(f"{c}_cap")
         return fill_and_clip(F.col(c), F.col(f"{c}_median"), cap).alias(c)
 
-    return joined.select(*[held(c) if c in NUMERIC else F.col(c) for c in cleaned.columns])
+    return joined.select(*[held(c) if c in NUMERIC else c for c in cleaned.columns])
 
 
 def count_loan_types(clipped: DataFrame) -> DataFrame:

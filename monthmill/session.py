@@ -24,6 +24,10 @@ def build_session(app_name: str = "monthmill", master: str | None = None, **conf
         # A chain of joins on the same keys is only split if an extra shuffle is allowed.
         .config("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
     )
+    # The JVM never compiles methods over 8,000 bytes; wide rows run faster unfused than interpreted.
+    builder = builder.config("spark.sql.codegen.hugeMethodLimit", "8000")
+    # Plans here have hundreds of columns; recording a call site for each doubles the time to build them.
+    builder = builder.config("spark.python.sql.dataFrameDebugging.enabled", "false")
     if master:
         builder = builder.master(master)
     for key, value in conf.items():
