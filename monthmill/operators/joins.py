@@ -73,8 +73,8 @@ def _spread(df: DataFrame, side: int, on: list[str], cuts: DataFrame) -> DataFra
     """Add ``_piece``: one piece per row on the cut side, every piece elsewhere.
 
     The piece comes from the row's content and its input partition. Both stay
-    the same when a lost task is run again, and the partition tells exact
-    copies of a row apart.
+    the same when a lost task is run again. The partition tells exact copies
+    of a row apart, so that no piece gets more of them than a few input splits hold.
     """
     columns = df.columns
     pieces = F.coalesce(F.col("_pieces"), F.lit(1))
