@@ -27,7 +27,7 @@ from ..plans.financials import (
 from ..plans.loans import bad_rate_by_mob, gold_labels, silver_loans
 from ..plans.stores import run_feature_store, run_label_store
 from ..schemas import KEYS, LOAN_KINDS, SNAPSHOT, SSN_FORMAT
-from ..session import stage, staging_root
+from ..session import at_once, stage, staging_root
 from ..sources.snapshots import (
     ingest,
     read_csv,
@@ -60,13 +60,15 @@ def _doubles(df: DataFrame) -> DataFrame:
 def _silver_tables(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
     """The three silver tables of the feature join, written as in a real run."""
     root = staging_root(spark)
-    loans = silver_loans(views.loans(spark, sf_dir))
-    tables = {
-        "attributes": silver_attributes(views.attributes(spark, sf_dir), SEGMENTS),
-        "financials": silver_financials(views.financials(spark, sf_dir)),
-        "clickstream": silver_clickstream(views.clickstream(spark, sf_dir), loans),
-    }
-    return [stage(df, root, name) for name, df in tables.items()]
+
+    def clicks():
+        return silver_clickstream(views.clickstream(spark, sf_dir), silver_loans(views.loans(spark, sf_dir)))
+
+    return at_once(
+        lambda: stage(silver_attributes(views.attributes(spark, sf_dir), SEGMENTS), root, "attributes"),
+        lambda: stage(silver_financials(views.financials(spark, sf_dir)), root, "financials"),
+        lambda: stage(clicks(), root, "clickstream"),
+    )
 
 
 # Sources, time axis and snapshot tables

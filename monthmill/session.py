@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -58,3 +60,9 @@ def stage(df: DataFrame, root: str, name: str) -> DataFrame:
     path = os.path.join(root, name)
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def at_once(*jobs: Callable) -> list:
+    """Run independent Spark jobs side by side, so that the tail of one leaves no core idle."""
+    with ThreadPoolExecutor(len(jobs)) as pool:
+        return [done.result() for done in [pool.submit(job) for job in jobs]]
