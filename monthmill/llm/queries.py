@@ -4,14 +4,24 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from monthmill.llm import simhash
+from monthmill.llm import licenses, packing, simhash, url_rules
 from monthmill.llm.common import hex16, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+# The rules of the URL query.
+URL_RULES = [
+    ("com", "/", "allow"),
+    ("example.com", "/en/", "block"),
+    ("www.example.com", "/en/", "allow"),
+    ("net", "/es/", "block"),
+    ("net", "/fr/", "block"),
+]
+
 QUERIES: dict[str, Query] = {}
 #: The same in DuckDB SQL, where SQL can express it.
 ORACLE_SQL: dict[str, str] = {}
@@ -27,3 +37,42 @@ def op6_simhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Component of every document under links of at most 3 differing bits."""
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", hex16(F.col("fp")).alias("fingerprint"), "component_id")
+
+
+@query
+def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's pieces and their places in sequences of 1024 tokens."""
+    items = packing.pieces(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return packing.pack(items).drop("certified")
+
+
+@query
+def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License phrases and accepted templates of every document."""
+    return licenses.report(licenses.scan(table(spark, sf_dir, "documents")))
+
+
+@query
+def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The verdict on every page's URL."""
+    return url_rules.judge(table(spark, sf_dir, "pages"), url_rules.rules_frame(spark, URL_RULES))
+
+
+ORACLE_SQL["op10_url_filters"] = """
+with parts as (
+  select page_id, case when contains(url, '://') then substr(url, instr(url, '://') + 3) else '' end as rest from pages
+), urls as (
+  select page_id, row_number() over () as n,
+    translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as host,
+    regexp_extract(substr(rest, length(regexp_extract(rest, '^[^/?#]*')) + 1), '^[^?#]*') as path
+  from parts
+), rules(r_host, r_path, verdict) as (
+  values ('com', '/', 'allow'), ('example.com', '/en/', 'block'), ('www.example.com', '/en/', 'allow'),
+    ('net', '/es/', 'block'), ('net', '/fr/', 'block')
+), fits as (
+  select n, r_host || r_path as rule, verdict, row_number() over (partition by n order by length(r_host || r_path) desc) as k
+  from urls join rules on (host = r_host or ends_with(host, '.' || r_host)) and starts_with(path, r_path)
+)
+select page_id, host, path, rule, coalesce(verdict, 'allow') as verdict
+from urls left join (select * from fits where k = 1) f using (n)
+"""
