@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from monthmill.llm import licenses, packing, simhash, url_rules
+from monthmill.llm import licenses, packing, piece_bpe, simhash, url_rules
 from monthmill.llm.common import hex16, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,6 +32,12 @@ def query(f: Query) -> Query:
     return f
 
 
+@query
+def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of every text's ids and of its decoded text."""
+    return piece_bpe.round_trips(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 @query
 def op6_simhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Component of every document under links of at most 3 differing bits."""
