@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from monthmill.llm import licenses, packing, piece_bpe, simhash, url_rules
+from monthmill.llm import licenses, packing, piece_bpe, quality, simhash, url_rules
 from monthmill.llm.common import hex16, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,6 +32,12 @@ def query(f: Query) -> Query:
     return f
 
 
+@query
+def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The quality score of every document."""
+    return quality.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @query
 def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of every text's ids and of its decoded text."""
