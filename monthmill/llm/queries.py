@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from monthmill.llm import licenses, packing, piece_bpe, quality, simhash, url_rules
+from monthmill.llm import licenses, line_templates, packing, piece_bpe, quality, simhash, url_rules
 from monthmill.llm.common import hex16, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -44,6 +44,50 @@ def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_bpe.round_trips(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+@query
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines, dropped lines, and size and digest of what stays of every document."""
+    out = line_templates.dedup(table(spark, sf_dir, "documents", ["doc_id", "text"]))
+    return out.select("doc_id", "n_lines", "n_dropped", F.length("text").cast("long").alias("kept_chars"), F.md5(F.col("text").cast("binary")).alias("kept_md5"))
+
+
+ORACLE_SQL["op5_line_dedup"] = r"""
+with each as (
+  select doc_id, text, unnest(string_split(text, chr(10))) as line, generate_subscripts(string_split(text, chr(10)), 1) as pos
+  from documents
+), worded as (
+  select doc_id, pos, line, string_split_regex(
+    trim(regexp_replace(line, '[^\x20\x09-\x0D]*[0-9][^\x20\x09-\x0D]*', '<*>', 'g'), e' \t\n\x0b\x0c\r'),
+    '[\x20\x09-\x0D]+') as words
+  from each
+), sized as (
+  select *, len(words) as n, least(len(words), 16) as r, least(len(words), 16) * 3 // 16 as d, words[:3] as lead
+  from worded where len(words) >= 4
+), cut as (
+  select *, list_transform(range(r), lambda i: words[i * n // r + 1 : (i + 1) * n // r]) as runs from sized
+), found as (select * exclude (line, lead), lead as head from cut),
+same as (select words, min(doc_id) as first from found group by words),
+banded as (
+  select words, n, head, runs, d, doc_id, unnest(range(d + 1)) as b,
+    unnest(list_transform(range(d + 1), lambda b: runs[b * r // (d + 1) + 1 : (b + 1) * r // (d + 1)])) as band
+  from (select words, n, head, runs, d, r, min(doc_id) as doc_id from found group by all) where d > 0
+), templates as (
+  select n, head, b, band, arg_min(runs, doc_id) as t_runs, min(doc_id) as first from banded group by all
+), near as (
+  select words, min(first) as first from banded join templates using (n, head, b, band)
+  where len(list_filter(range(len(runs)), lambda i: runs[i + 1] <> t_runs[i + 1])) between 1 and d group by words
+), dropped as (
+  select distinct doc_id, pos from found left join same using (words) left join near using (words)
+  where doc_id > same.first or doc_id > near.first
+), kept as (
+  select e.doc_id, count(*) as n_lines, count(d.pos) as n_dropped,
+    coalesce(string_agg(e.line, chr(10) order by e.pos) filter (where d.pos is null), '') as text
+  from each e left join dropped d on e.doc_id = d.doc_id and e.pos = d.pos group by e.doc_id
+)
+select doc_id, n_lines, n_dropped, length(text) as kept_chars, md5(text) as kept_md5 from kept
+"""
+
+
 @query
 def op6_simhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Component of every document under links of at most 3 differing bits."""
