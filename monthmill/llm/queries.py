@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from monthmill.llm import licenses, line_templates, packing, piece_bpe, quality, simhash, url_rules
+from monthmill.llm import licenses, line_templates, packing, piece_bpe, quality, simhash, url_rules, winnow
 from monthmill.llm.common import hex16, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -44,6 +44,12 @@ def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_bpe.round_trips(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+@query
+def op3_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Winnowed fingerprints of every document and of its edited text."""
+    return winnow.edited_fingerprints(table(spark, sf_dir, "documents"))
+
+
 @query
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines, dropped lines, and size and digest of what stays of every document."""
