@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from monthmill.llm import licenses, line_templates, packing, piece_bpe, quality, simhash, url_rules, winnow
+from monthmill.llm import licenses, line_templates, neighbours, packing, piece_bpe, quality, simhash, url_rules, winnow
 from monthmill.llm.common import hex16, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -101,6 +101,12 @@ def op6_simhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", hex16(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+@query
+def op7_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest found of every vector whose id is divisible by 20."""
+    return neighbours.search(table(spark, sf_dir, "embeddings"))
+
+
 @query
 def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's pieces and their places in sequences of 1024 tokens."""
