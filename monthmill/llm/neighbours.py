@@ -5,8 +5,8 @@ distance. Vectors are turned by a random rotation; then a distance over the firs
 whole one, and a candidate whose estimate exceeds the query's bound by more than chance allows is given up.
 
 Fit. Centroids come from a sample of at most `sample` rows (those whose ids hash smallest), and so does the number of lists
-to probe: the fewest that hold the wanted share of the sample's own neighbours. The sample also gives each query its first
-bound. All rows are indexed. Lists are cut into blocks and their queries into parts, and each pair of block and part is a
+to probe: the fewest that hold the wanted share of the sample's own neighbours. Its first `seeds` rows give each query its
+first finds and their bound. All rows are indexed. Lists are cut into blocks and their queries into parts, and each pair of block and part is a
 task's group, so a list that holds a third of all rows is no larger a group than others.
 """
 
@@ -31,8 +31,8 @@ class Index:
     rotation: np.ndarray
     centroids: np.ndarray
     probes: int
-    sample_ids: np.ndarray
-    sample: np.ndarray
+    seed_ids: np.ndarray
+    seeds: np.ndarray
 
     def turned(self, vectors: np.ndarray) -> np.ndarray:
         """Candidates: scaled to at most length one, lengthened to one, and rotated."""
@@ -49,16 +49,17 @@ class Index:
         """Per row the numbers of all lists, nearest first."""
         return np.argsort(-(2 * turned @ self.centroids.T - (self.centroids**2).sum(1)), axis=1, kind="stable")
 
-    def bounds(self, ids: np.ndarray, turned: np.ndarray, k: int) -> np.ndarray:
-        """Squared distance to the k-th nearest row of the sample but the query's own; without so many, infinite."""
-        if len(self.sample) <= k:
-            return np.full(len(ids), np.inf)
-        out = np.empty(len(ids))
-        for a in range(0, len(ids), 512):
-            distance = np.maximum(0, 2 - 2 * turned[a : a + 512] @ self.sample.T)
-            distance[ids[a : a + 512, None] == self.sample_ids] = np.inf
-            out[a : a + 512] = np.partition(distance, k - 1, axis=1)[:, k - 1]
-        return out
+    def first_found(self, ids: np.ndarray, queries: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """The k nearest seeds of each query but itself, as numbers of seeds, and the squared distance to the last.
+
+        With too few seeds there are none, and the distance is infinite.
+        """
+        if len(self.seeds) <= k:
+            return np.zeros((len(ids), 0), int), np.full(len(ids), np.inf)
+        distance = np.maximum(0, 2 - 2 * self.turned_queries(queries) @ self.turned(self.seeds).T)
+        distance[ids[:, None] == self.seed_ids] = np.inf
+        near = np.argpartition(distance, k - 1, axis=1)[:, :k]
+        return near, np.take_along_axis(distance, near, axis=1).max(1)
 
 
 def usable(vectors: DataFrame) -> DataFrame:
@@ -74,7 +75,7 @@ def usable(vectors: DataFrame) -> DataFrame:
     return rows.groupBy("vec_id").agg(F.min("embedding").alias("embedding"))
 
 
-def fit(rows: DataFrame, k: int, recall: float, list_rows: int, max_lists: int, sample: int, seed: int = 7) -> Index | None:
+def fit(rows: DataFrame, k: int, recall: float, list_rows: int, max_lists: int, sample: int, seeds: int, seed: int = 7) -> Index | None:
     """An index over `rows`, or None if there are none."""
     count, top = rows.agg(F.count("*"), F.max(F.sqrt(F.aggregate("embedding", F.lit(0.0), lambda s, x: s + x * x)))).first()
     if not count:
@@ -82,8 +83,8 @@ def fit(rows: DataFrame, k: int, recall: float, list_rows: int, max_lists: int,
     got = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(sample).toPandas()
     vectors, rng = np.stack(got["embedding"].to_numpy()), np.random.default_rng(seed)
     rotation = np.linalg.qr(rng.normal(size=(vectors.shape[1] + 1,) * 2))[0]
-    index = Index(float(top), rotation, np.zeros((0, 0)), 1, got["vec_id"].to_numpy(np.int64), np.zeros((0, 0)))
-    index.sample = turned = index.turned(vectors)
+    index = Index(float(top), rotation, np.zeros((0, 0)), 1, got["vec_id"].to_numpy(np.int64)[:seeds], vectors[:seeds])
+    turned = index.turned(vectors)
     lists = max(1, min(max_lists, len(turned) // 16, -(-count // list_rows)))
     centroids = turned[rng.choice(len(turned), lists, replace=False)]
     for _ in range(12):
@@ -160,6 +161,7 @@ def search(
     list_rows: int = 1024,
     max_lists: int = 1024,
     sample: int = 20_000,
+    seeds: int = 512,
     block_rows: int = 4096,
     part_rows: int = 1024,
     width: int = 16,
@@ -174,7 +176,7 @@ def search(
     rows = staged(usable(vectors), "vectors")
     lengths = rows.groupBy(F.size("embedding").alias("n")).count().orderBy(F.desc("count"), "n").first()
     rows = rows.where(F.size("embedding") == (lengths["n"] if lengths else 0))
-    index = fit(rows, k, recall, list_rows, max_lists, sample)
+    index = fit(rows, k, recall, list_rows, max_lists, sample, seeds)
     if index is None:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     shared = spark.sparkContext.broadcast(index)
@@ -195,14 +197,17 @@ def search(
             if not len(batch):
                 continue
             found, ids = shared.value, batch["vec_id"].to_numpy(np.int64)
-            turned = found.turned_queries(np.stack(batch["embedding"].to_numpy()))
-            order = found.nearest_lists(turned)
+            queries = np.stack(batch["embedding"].to_numpy())
+            order = found.nearest_lists(found.turned_queries(queries))
             # As many lists as the index asks for, and more until they hold k candidates beside the query itself.
             wanted = np.maximum(found.probes, (np.cumsum(sizes[order], axis=1) <= k).sum(1) + 1)
             lists = [row[:n][sizes[row[:n]] > 0].tolist() for row, n in zip(order, wanted, strict=True)]
-            yield pd.DataFrame({"query_id": ids, "query": batch["embedding"], "bound": found.bounds(ids, turned, k), "lists": lists})
+            near, bound = found.first_found(ids, queries, k)
+            scores = [(q * found.seeds[n]).sum(1) for q, n in zip(queries, near, strict=True)]
+            yield pd.DataFrame({"query_id": ids, "query": batch["embedding"], "bound": bound, "lists": lists, "vec_ids": list(found.seed_ids[near]), "scores": scores})
 
-    asked = rows.where(F.col("vec_id") % every == 0).mapInPandas(probing, "query_id long, query array<double>, bound double, lists array<int>")
+    of_query = "query_id long, query array<double>, bound double, lists array<int>, vec_ids array<long>, scores array<double>"
+    asked = rows.where(F.col("vec_id") % every == 0).mapInPandas(probing, of_query)
     asked = staged(asked, "queries")
     loads = np.zeros(len(sizes), np.int64)
     for number, count in asked.select(F.explode("lists").alias("list")).groupBy("list").count().collect():
@@ -230,5 +235,7 @@ def search(
 
     key = ["list", "block", "part"]
     found = left.groupBy(*key).cogroup(right.groupBy(*key)).applyInPandas(scanned, "query_id long, vec_id long, score double")
+    first = asked.select("query_id", F.explode(F.arrays_zip("vec_ids", "scores")).alias("s")).select("query_id", F.col("s.vec_ids").alias("vec_id"), F.col("s.scores").alias("score"))
+    found = found.unionByName(first).groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
