@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from monthmill.llm import licenses, line_templates, neighbours, packing, piece_bpe, quality, simhash, url_rules, winnow
+from monthmill.llm import licenses, line_templates, neighbours, packing, piece_bpe, quality, simhash, token_files, url_rules, winnow
 from monthmill.llm.common import hex16, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -50,6 +50,12 @@ def op3_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return winnow.edited_fingerprints(table(spark, sf_dir, "documents"))
 
 
+@query
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every document, counted in flat files whose documents end with id 50256."""
+    return token_files.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), 50256)
+
+
 @query
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines, dropped lines, and size and digest of what stays of every document."""
