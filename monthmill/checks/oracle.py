@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from ..schemas import FIXED_CAPS, GOLD_DROPPED, LOAN_KINDS, MODE_IMPUTED, QUANTILE_CLIPPED
 from ..functions.text import snake_case
-from .queries import END, LOAN_KIND_COLUMNS, SEGMENTS, START
+from .queries import ABSENT, END, LOAN_KIND_COLUMNS, ONE_MONTH, SEGMENTS, START
 
 NUMERIC = [*QUANTILE_CLIPPED, *FIXED_CAPS]
 FEATURES = ", ".join(f"fe_{i}" for i in range(1, 21))
@@ -252,6 +252,14 @@ def _outliers(select: str, table: str, column: str) -> str:
         where {column} < q1 - 1.5 * (q3 - q1) or {column} > q3 + 1.5 * (q3 - q1)"""
 
 
+def _density(table: str, column: str, x_digits: int, digits: int) -> str:
+    return f"""select cast(p as int) point, round(x, {x_digits}) x,
+        round(sum(c * exp(-pow((x - v) / h, 2) / 2)) / (n * h * sqrt(2 * pi())), {digits}) density from (
+        select p, low + p * ((high - low) / 199) x, n, h from (select min({column})::double low, max({column})::double high,
+            count({column})::double n, stddev_samp({column}) * pow(count({column})::double, -0.2) h from {table}), range(200) g(p)),
+        (select {column}::double v, count(*) c from {table} where {column} is not null group by 1) group by p, x, n, h"""
+
+
 INFO = [
     ("customer_id", "string"), ("name", "string"), ("age", "string"), ("ssn", "string"), ("occupation", "string"),
     ("snapshot_date", "date"),
@@ -271,6 +279,10 @@ SQL = {
     "bronze_counts": "select snapshot_date, count(*) row_count from loans group by snapshot_date",
     "multi_snapshot_scan": f"select * replace ({LOAN_DOUBLES}) from loans",
     "csv_scan": "select * replace (cast(snapshot_date as varchar) as snapshot_date) from attrs",
+    "csv_bronze": "select * from attrs",
+    "rerun_over_snapshots": f"""select * replace ({LOAN_DOUBLES}, cast(tenure + case when snapshot_date {WINDOW} then 1 else 0 end as int)
+        as tenure) from loans""",
+    "first_rows": """select * from attrs order by "Customer_ID", snapshot_date, "Occupation", "Name", "Age", "SSN" limit 20""",
     "silver_loan_snapshots": f"select * replace ({LOAN_DOUBLES}) from sloans",
     "gold_label_store": "select * from labels30",
     "gold_label_store_keep_spelling": """select loan_id, customer_id "Customer_ID", case when dpd >= 60 then 1 else 0 end
@@ -279,16 +291,35 @@ SQL = {
     "bad_rate": BAD_RATE.format(""),
     "bad_rate_at_installment": BAD_RATE.format("and installment_num = 10"),
     "label_store_run": f"select * from labels30 where snapshot_date {WINDOW}",
+    "label_store_all_months": "select * from labels30",
+    "silver_loans_tiny_due": """select loan_id, installment_num, least(m, 2147483647)::int installments_missed,
+        case when m between 1 and 60000000 then cast(snapshot_date - to_months(least(m, 1000)::int) as date) end first_missed_date,
+        case when coalesce(overdue_amt, 0) <= 0 then 0 when m > 60000000 then 2147483647
+            else date_diff('day', case when m > 0 then cast(snapshot_date - to_months(least(m, 1000)::int) as date) end, snapshot_date)
+            end::int dpd
+        from (select *, case when q is null then 0 else least(q, 9e18)::bigint end m from (select *, ceil(overdue_amt::double
+            / nullif(case when loan_id::bigint % 19 = 0 then 1e-30::real else due_amt end, 0)::double) q from loans))""",
     "loan_keys": "select * from keys",
     "clickstream_at_loan_start": "select * from sclicks",
     "clickstream_without_loans": "select *, cast(null as varchar) loan_id from clicks",
     "cleaned_attributes": "select * from cattrs",
     "occupation_vocabulary": "select distinct occupation from cattrs where occupation is not null",
     "one_hot_occupation": "select * from sattrs",
+    "one_hot_any_case": "select c_nationkey, c_acctbal, "
+    + ", ".join(f"max(case when c_mktsegment = '{s}' then 1 else 0 end) segment_{s.lower()}" for s in SEGMENTS[:5])
+    + " from customer group by all",
+    "attributes_month_by_month": "select * from sattrs",
     "cleaned_financials": f"select * replace ({_real(*NUMERIC)}) from cfins",
     "snapshot_statistics": "select snapshot_date, "
     + _real(*[f"{c}_median" for c in NUMERIC], *[f"{c}_cap" for c in QUANTILE_CLIPPED])
     + " from stats",
+    "order_statistics": "select o_orderpriority, "
+    + ", ".join(
+        f"cast(quantile_disc({v}, {p}) as varchar) {c}_{n}"
+        for c, v in (("key", "o_orderkey + 1152921504606846976"), ("price", "o_totalprice::decimal(30, 10)"))
+        for n, p in (("median", 0.5), ("cap", 0.999))
+    )
+    + " from orders group by 1",
     "imputed_and_clipped": f"select customer_id, snapshot_date, {_real(*NUMERIC)} from clipped",
     "multi_hot_loan_types": MULTI_HOT.format(_hot(ENTRIES)),
     "multi_hot_loan_types_strip_and": MULTI_HOT.format(_hot(STRIPPED)),
@@ -304,6 +335,13 @@ SQL = {
     "gold_feature_store": "select * from gold",
     "gold_feature_store_reachable_flag": _gold(2),
     "feature_store_run": f"select * from gold where snapshot_date {WINDOW}",
+    "feature_store_all_months": "select * from gold",
+    "feature_store_missing_month": f"select * from gold where snapshot_date <> date '{ABSENT}'",
+    "one_snapshot_jobs": f"""select (select count(*) from labels30 where snapshot_date = date '{ONE_MONTH}') labels,
+        (select sum("label")::bigint from labels30 where snapshot_date = date '{ONE_MONTH}') bad,
+        (select count(*) from gold where snapshot_date = date '{ONE_MONTH}') features,
+        (select coalesce(sum(fe_1), 0)::bigint from gold where snapshot_date = date '{ONE_MONTH}') fe_1""",
+    "null_report_of_builds": _nulls("gold", ["customer_id", *GOLD], "snapshot_date"),
     "null_report": _nulls("cfins", [*CLEAN, "snapshot_date"]),
     "null_report_by_snapshot": _nulls("cfins", CLEAN, "snapshot_date"),
     "null_report_gold": _nulls("gold", ["customer_id", *GOLD], "snapshot_date"),
@@ -338,11 +376,8 @@ SQL = {
         "cast(ceil((high - low) / least((high - low) / (log2(n) + 1), 2 * (q3 - q1) / pow(n, 1.0 / 3))) as int)",
         ", quantile_cont(o_totalprice, 0.25) q1, quantile_cont(o_totalprice, 0.75) q3",
     ),
-    "age_density": """select cast(p as int) point, round(x, 6) x,
-        round(sum(c * exp(-pow((x - v) / h, 2) / 2)) / (n * h * sqrt(2 * pi())), 9) density from (
-        select p, low + p * ((high - low) / 199) x, n, h from (select min(age)::double low, max(age)::double high,
-            count(age)::double n, stddev_samp(age) * pow(count(age)::double, -0.2) h from ages), range(200) g(p)),
-        (select age::double v, count(*) c from ages where age is not null group by age) group by p, x, n, h""",
+    "age_density": _density("ages", "age", 6, 9),
+    "price_density": _density("orders", "o_totalprice", 4, 12),
 }
 
 

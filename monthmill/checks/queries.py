@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,8 +10,9 @@ from pyspark.sql import functions as F
 
 from ..functions.text import snake_case
 from ..operators import profile
-from ..operators.encode import vocabulary
+from ..operators.encode import one_hot, vocabulary
 from ..operators.modes import fill_with_modes, modes
+from ..operators.quantiles import quantiles
 from ..operators.shape import column_info, rename, rows_equal
 from ..plans.attributes import clean_attributes, silver_attributes
 from ..plans.clickstream import loan_start_keys, silver_clickstream
@@ -25,9 +27,10 @@ from ..plans.financials import (
     silver_financials,
 )
 from ..plans.loans import bad_rate_by_mob, gold_labels, silver_loans
+from ..plans import stores
 from ..plans.stores import run_feature_store, run_label_store
-from ..schemas import KEYS, LOAN_KINDS, SNAPSHOT, SSN_FORMAT
-from ..session import at_once, stage, staging_root
+from ..schemas import KEYS, LOAN_KINDS, RAW_COLUMNS, SNAPSHOT, SSN_FORMAT
+from ..session import at_once, stage
 from ..sources.snapshots import (
     ingest,
     read_csv,
@@ -42,6 +45,10 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 # The window of the backfill queries: 24 months inside the given tables.
 START, END = "1996-01-01", "1997-12-01"
+# All months of the given tables' orders and of their ten installments.
+FIRST, LAST = "1995-01-01", "2002-08-01"
+# The month that one source lacks, and the one of the one-snapshot jobs.
+ABSENT, ONE_MONTH = "1996-06-01", "1997-03-01"
 # Occupations of the attribute view.
 SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY", "MediaManager"]
 
@@ -53,24 +60,42 @@ def query(f: Query) -> Query:
     return f
 
 
+def _scratch(spark: SparkSession) -> str:
+    """A folder for what a query writes before its result is read; it goes when the session's JVM ends."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    path = f"{root.rstrip('/')}/checks-{uuid.uuid4().hex}"
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    store = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    store.mkdirs(folder)
+    store.deleteOnExit(folder)
+    return path
+
+
 def _doubles(df: DataFrame) -> DataFrame:
     return df.selectExpr(*[f"cast({c} as double) as {c}" if t == "float" else c for c, t in df.dtypes])
 
 
 def _silver_tables(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
     """The three silver tables of the feature join, written as in a real run."""
-    root = staging_root(spark)
+    root = _scratch(spark)
 
     def clicks():
         return silver_clickstream(views.clickstream(spark, sf_dir), silver_loans(views.loans(spark, sf_dir)))
 
+    def financials():
+        return silver_financials(views.financials(spark, sf_dir), keep=lambda df: stage(df, root, "cleaned"))
+
     return at_once(
         lambda: stage(silver_attributes(views.attributes(spark, sf_dir), SEGMENTS), root, "attributes"),
-        lambda: stage(silver_financials(views.financials(spark, sf_dir)), root, "financials"),
+        lambda: stage(financials(), root, "financials"),
         lambda: stage(clicks(), root, "clickstream"),
     )
 
 
+def _aggregated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return silver_aggregated(stage(join_features(*_silver_tables(spark, sf_dir)), _scratch(spark), "joined"))
+
+
 # Sources, time axis and snapshot tables
 
 
@@ -95,16 +120,41 @@ def bronze_counts(spark, sf_dir):
 
 @query
 def multi_snapshot_scan(spark, sf_dir):
-    root = staging_root(spark)
+    root = _scratch(spark)
     write_snapshots(ingest(views.loans(spark, sf_dir)), root)
     return _doubles(read_snapshots(spark, root))
 
 
 @query
 def csv_scan(spark, sf_dir):
-    root = staging_root(spark)
+    root = _scratch(spark)
     views.attributes(spark, sf_dir).write.option("header", True).option("escape", '"').csv(root)
-    return read_csv(spark, root)
+    return read_csv(spark, root, RAW_COLUMNS["attributes"])
+
+
+@query
+def csv_bronze(spark, sf_dir):
+    """A bronze table kept as CSV, read back by date."""
+    root = _scratch(spark)
+    dates = snapshot_dates(FIRST, LAST)
+    write_snapshots(views.attributes(spark, sf_dir), root, dates, format="csv")
+    return read_snapshots(spark, root, dates, format="csv", columns=RAW_COLUMNS["attributes"])
+
+
+@query
+def rerun_over_snapshots(spark, sf_dir):
+    """All months written, then those of one window again with other values."""
+    root, raw = _scratch(spark), views.loans(spark, sf_dir)
+    write_snapshots(ingest(raw), root)
+    again = ingest(raw, snapshot_dates(START, END)).withColumn("tenure", F.col("tenure") + 1)
+    write_snapshots(again, root, snapshot_dates(START, END))
+    return _doubles(read_snapshots(spark, root))
+
+
+@query
+def first_rows(spark, sf_dir):
+    """The first rows of the raw attributes in a defined order; the number is the feature."""
+    return profile.first_rows(views.attributes(spark, sf_dir), 20, ["Customer_ID", SNAPSHOT, "Occupation"])
 
 
 # Loans and labels
@@ -142,11 +192,27 @@ def bad_rate_at_installment(spark, sf_dir):
 
 @query
 def label_store_run(spark, sf_dir):
-    root = staging_root(spark)
+    root = _scratch(spark)
     views.loans(spark, sf_dir).write.option("header", True).csv(f"{root}/raw")
     return run_label_store(spark, f"{root}/raw", f"{root}/mart", START, END)
 
 
+@query
+def label_store_all_months(spark, sf_dir):
+    root = _scratch(spark)
+    views.loans(spark, sf_dir).write.option("header", True).csv(f"{root}/raw")
+    return run_label_store(spark, f"{root}/raw", f"{root}/mart", FIRST, LAST)
+
+
+@query
+def silver_loans_tiny_due(spark, sf_dir):
+    """Amounts due so small that the missed installments leave the range of int and the first missed date that of dates."""
+    loans = views.loans(spark, sf_dir)
+    tiny = F.when(F.col("loan_id").cast("long") % 19 == 0, F.lit(1e-30).cast("float")).otherwise(F.col("due_amt"))
+    out = silver_loans(loans.withColumn("due_amt", tiny))
+    return out.select("loan_id", "installment_num", "installments_missed", "first_missed_date", "dpd")
+
+
 # Clickstream
 
 
@@ -185,6 +251,25 @@ def one_hot_occupation(spark, sf_dir):
     return silver_attributes(raw, vocabulary(clean_attributes(raw), "occupation"))
 
 
+@query
+def one_hot_any_case(spark, sf_dir):
+    """Values that differ in case only share a column."""
+    customers = views.table(spark, sf_dir, "customer")
+    segment = F.when(F.col("c_custkey") % 3 == 0, F.lower("c_mktsegment")).otherwise(F.col("c_mktsegment"))
+    rows = customers.select("c_nationkey", "c_acctbal", segment.alias("segment"))
+    return one_hot(rows, "segment", vocabulary(rows, "segment"), "segment_")
+
+
+@query
+def attributes_month_by_month(spark, sf_dir):
+    """Silver attributes, the first six months each by a build of its own, with the vocabulary that grows."""
+    root, dates = _scratch(spark), snapshot_dates(FIRST, LAST)
+    write_snapshots(views.attributes(spark, sf_dir), f"{root}/bronze", dates)
+    for some in [*([d] for d in dates[:6]), dates[6:]]:
+        stores.build_silver_attributes(spark, f"{root}/bronze", f"{root}/silver", some)
+    return stores.read_attributes(spark, f"{root}/silver")
+
+
 # Financials
 
 
@@ -198,6 +283,15 @@ def snapshot_statistics(spark, sf_dir):
     return _doubles(financial_statistics(clean_financials(views.financials(spark, sf_dir))))
 
 
+@query
+def order_statistics(spark, sf_dir):
+    """Medians and caps of a bigint and a decimal, each in its own type."""
+    orders = views.table(spark, sf_dir, "orders")
+    scaled = orders.select("o_orderpriority", (F.col("o_orderkey") + 2**60).alias("key"), F.col("o_totalprice").cast("decimal(30,10)").alias("price"))
+    found = quantiles(scaled, {c: {"median": 0.5, "cap": 0.999} for c in ("key", "price")}, ["o_orderpriority"])
+    return found.select("o_orderpriority", *(F.col(c).cast("string").alias(c) for c in found.columns[1:]))
+
+
 @query
 def imputed_and_clipped(spark, sf_dir):
     cleaned = clean_financials(views.financials(spark, sf_dir))
@@ -263,28 +357,95 @@ def mode_imputed(spark, sf_dir):
 
 @query
 def aggregated_features(spark, sf_dir):
-    return _doubles(silver_aggregated(*_silver_tables(spark, sf_dir)))
+    return _doubles(_aggregated(spark, sf_dir))
 
 
 @query
 def gold_feature_store(spark, sf_dir):
-    return _doubles(gold_features(silver_aggregated(*_silver_tables(spark, sf_dir))))
+    return _doubles(gold_features(_aggregated(spark, sf_dir)))
 
 
 @query
 def gold_feature_store_reachable_flag(spark, sf_dir):
-    return _doubles(gold_features(silver_aggregated(*_silver_tables(spark, sf_dir)), spending_level=2))
+    return _doubles(gold_features(_aggregated(spark, sf_dir), spending_level=2))
 
 
 @query
 def feature_store_run(spark, sf_dir):
-    root = staging_root(spark)
+    root = _scratch(spark)
     raw = {s: f"{root}/raw/{s}" for s in ("loans", "clickstream", "attributes", "financials")}
     for source, path in raw.items():
         getattr(views, source)(spark, sf_dir).write.option("header", True).option("escape", '"').csv(path)
     return _doubles(run_feature_store(spark, raw, f"{root}/mart", START, END, SEGMENTS))
 
 
+@query
+def feature_store_all_months(spark, sf_dir):
+    root = _scratch(spark)
+    raw = {s: f"{root}/raw/{s}" for s in stores.SOURCES}
+    for source, path in raw.items():
+        getattr(views, source)(spark, sf_dir).write.option("header", True).option("escape", '"').csv(path)
+    return _doubles(run_feature_store(spark, raw, f"{root}/mart", FIRST, LAST, SEGMENTS))
+
+
+@query
+def feature_store_missing_month(spark, sf_dir):
+    """Both last layers over all months, of which one is absent from the financials: only that one is left out."""
+    mart, dates = stores.Mart(_scratch(spark)), snapshot_dates(FIRST, LAST)
+    attributes, financials, clicks = _silver_tables(spark, sf_dir)
+    write_snapshots(attributes, mart.silver("attributes"), dates)
+    kept = [d for d in dates if d != ABSENT]
+    write_snapshots(financials.where(F.col(SNAPSHOT) != F.lit(ABSENT).cast("date")), mart.silver("financials"), kept)
+    write_snapshots(clicks, mart.silver("clickstream"), dates)
+    aggregated = mart.silver("aggregated")
+    built = stores.build_silver_aggregated(spark, mart.silver("clickstream"), mart.silver("attributes"), mart.silver("financials"), aggregated, dates)
+    gold = stores.build_gold_features(spark, aggregated, mart.gold("features"), dates)
+    if built.skipped != [ABSENT] or gold.skipped != [ABSENT]:
+        raise ValueError(f"skipped {built.skipped} and {gold.skipped}")
+    return _doubles(read_snapshots(spark, mart.gold("features")))
+
+
+@query
+def one_snapshot_jobs(spark, sf_dir):
+    """One month from raw files to gold features, by the jobs of the command line; the month is the jobs' argument."""
+    from ..jobs import parser, run
+
+    root = _scratch(spark)
+    raw, mart = {s: f"{root}/raw/{s}" for s in stores.SOURCES}, stores.Mart(f"{root}/mart")
+    spark.createDataFrame([(v,) for v in SEGMENTS], "value string").write.parquet(f"{mart.silver('attributes')}_occupations")
+
+    def job(name, **options):
+        args = [name, "--snapshot-date", ONE_MONTH, *(x for k, v in options.items() for x in (f"--{k}", v))]
+        run(spark, parser().parse_args(args))
+
+    for s, path in raw.items():
+        getattr(views, s)(spark, sf_dir).write.option("header", True).option("escape", '"').csv(path)
+        job("bronze", raw=path, out=mart.bronze(s), source=s)
+    job("silver-loans", bronze=mart.bronze("loans"), out=mart.silver("loans"))
+    job("gold-labels", silver=mart.silver("loans"), out=mart.gold("labels"))
+    job("silver-clickstream", bronze=mart.bronze("clickstream"), loans=mart.silver("loans"), out=mart.silver("clickstream"))
+    for s in ("attributes", "financials"):
+        job(f"silver-{s}", bronze=mart.bronze(s), out=mart.silver(s))
+    job("aggregate", **{s: mart.silver(s) for s in ("clickstream", "attributes", "financials")}, out=mart.silver("aggregated"))
+    job("gold-features", aggregated=mart.silver("aggregated"), out=mart.gold("features"))
+    labels = read_snapshots(spark, mart.gold("labels"), [ONE_MONTH]).select("loan_id", "label").alias("l")
+    features = read_snapshots(spark, mart.gold("features"), [ONE_MONTH])
+    counts = features.agg(F.count(F.lit(1)).alias("features"), F.coalesce(F.sum("fe_1"), F.lit(0)).alias("fe_1"))
+    return labels.agg(F.count(F.lit(1)).alias("labels"), F.sum("label").alias("bad")).select(
+        "labels", "bad", *(counts.select(c).scalar().alias(c) for c in counts.columns)
+    )
+
+
+@query
+def null_report_of_builds(spark, sf_dir):
+    """The report that the gold build leaves beside its table."""
+    root = _scratch(spark)
+    write_snapshots(_aggregated(spark, sf_dir), f"{root}/aggregated")
+    dates = stores.snapshots_in(spark, f"{root}/aggregated")
+    stores.build_gold_features(spark, f"{root}/aggregated", f"{root}/gold", dates)
+    return read_snapshots(spark, f"{root}/gold_nulls", dates)
+
+
 # Reports
 
 
@@ -300,7 +461,7 @@ def null_report_by_snapshot(spark, sf_dir):
 
 @query
 def null_report_gold(spark, sf_dir):
-    return profile.null_report(gold_features(silver_aggregated(*_silver_tables(spark, sf_dir))), [SNAPSHOT])
+    return profile.null_report(gold_features(_aggregated(spark, sf_dir)), [SNAPSHOT])
 
 
 @query
@@ -394,4 +555,10 @@ def age_density(spark, sf_dir):
     return points.select("point", F.round("x", 6).alias("x"), F.round("density", 9).alias("density"))
 
 
+@query
+def price_density(spark, sf_dir):
+    points = profile.density(views.table(spark, sf_dir, "orders"), "o_totalprice")
+    return points.select("point", F.round("x", 4).alias("x"), F.round("density", 12).alias("density"))
+
+
 LOAN_KIND_COLUMNS = [snake_case(k) for k in LOAN_KINDS]

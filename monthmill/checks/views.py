@@ -14,18 +14,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _on_all_cores(df: DataFrame) -> DataFrame:
-    """Deal out the rows of a file with fewer splits than there are cores.
-
-    A table large enough to have a split per core is left as it is.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
-
-
 def _orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate")
-    return _on_all_cores(orders).select(
+    return orders.select(
         F.col("o_orderkey").alias("ok"),
         F.col("o_custkey").alias("ck"),
         F.col("o_totalprice").alias("price"),
@@ -71,7 +62,7 @@ def clickstream(spark: SparkSession, sf_dir: str) -> DataFrame:
     event = F.col("event_id")
     base = F.floor("value").cast("int")
     events = table(spark, sf_dir, "events").select("event_id", "user_id", "value")
-    return _on_all_cores(events).select(
+    return events.select(
         *[(base + (event * i % 101).cast("int")).alias(f"fe_{i}") for i in range(1, 21)],
         F.col("user_id").cast("string").alias("Customer_ID"),
         F.add_months(F.lit("1995-01-01").cast("date"), (event % 80).cast("int")).alias("snapshot_date"),

@@ -9,9 +9,14 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+MAX_INT = 2**31 - 1
+
+
 def whole_ratio(a: Column, b: Column) -> Column:
-    """``ceil(a / b)`` as int; NULL where b is 0 or NULL."""
-    return F.ceil(F.try_divide(a.cast("double"), b.cast("double"))).try_cast("int")
+    """``ceil(a / b)`` as int, held to the range of int; NULL where b is 0 or NULL."""
+    ratio = F.ceil(F.try_divide(a.cast("double"), b.cast("double")))
+    held = F.greatest(F.least(ratio, F.lit(MAX_INT)), F.lit(-MAX_INT - 1))
+    return F.when(ratio.isNotNull(), held).try_cast("int")
 
 
 def fill_and_clip(c: Column, fill: Column, upper: Column) -> Column:

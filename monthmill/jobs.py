@@ -8,14 +8,8 @@ from __future__ import annotations
 import argparse
 import sys
 
-from .plans.stores import (
-    SOURCES,
-    build_bronze,
-    build_gold_features,
-    build_silver_aggregated,
-    run_feature_store,
-    run_label_store,
-)
+from .plans import stores
+from .schemas import RAW_COLUMNS
 from .session import build_session
 from .sources.snapshots import read_csv
 
@@ -33,29 +27,43 @@ def parser() -> argparse.ArgumentParser:
             sub.add_argument(option, required=True)
         return sub
 
-    command("bronze", "--raw", "--out")
+    bronze = command("bronze", "--raw", "--out")
+    bronze.add_argument("--source", choices=stores.SOURCES, help="checks the header of each file against that source's columns")
+    for table in ("silver-loans", "silver-attributes", "silver-financials"):
+        command(table, "--bronze", "--out")
+    command("silver-clickstream", "--bronze", "--loans", "--out")
+    one = command("gold-labels", "--silver", "--out")
     command("aggregate", "--clickstream", "--attributes", "--financials", "--out")
     command("gold-features", "--aggregated", "--out")
     labels = command("label-store", "--loans", "--root", "--start", "--end", dated=False)
-    labels.add_argument("--dpd", type=int, default=30)
-    labels.add_argument("--mob", type=int, default=6)
-    command("feature-store", *[f"--{s}" for s in SOURCES], "--root", "--start", "--end", dated=False)
+    for sub in (labels, one):
+        sub.add_argument("--dpd", type=int, default=30)
+        sub.add_argument("--mob", type=int, default=6)
+    command("feature-store", *[f"--{s}" for s in stores.SOURCES], "--root", "--start", "--end", dated=False)
     return top
 
 
 def run(spark, args) -> None:
-    if args.command == "bronze":
-        build_bronze(spark, read_csv(spark, args.raw), args.out, [args.snapshot_date])
-    elif args.command == "aggregate":
-        build_silver_aggregated(
-            spark, args.clickstream, args.attributes, args.financials, args.out, [args.snapshot_date]
-        )
-    elif args.command == "gold-features":
-        build_gold_features(spark, args.aggregated, args.out, [args.snapshot_date])
-    elif args.command == "label-store":
-        run_label_store(spark, args.loans, args.root, args.start, args.end, args.dpd, args.mob)
-    else:
-        run_feature_store(spark, {s: getattr(args, s) for s in SOURCES}, args.root, args.start, args.end)
+    day = [getattr(args, "snapshot_date", None)]
+    jobs = {
+        "bronze": lambda: stores.build_bronze(spark, read_csv(spark, args.raw, RAW_COLUMNS.get(args.source)), args.out, day),
+        "silver-loans": lambda: stores.build_silver_loans(spark, args.bronze, args.out, day),
+        "silver-attributes": lambda: stores.build_silver_attributes(spark, args.bronze, args.out, day),
+        "silver-financials": lambda: stores.build_silver_financials(spark, args.bronze, args.out, day),
+        "silver-clickstream": lambda: stores.build_silver_clickstream(spark, args.bronze, args.loans, args.out, day),
+        "aggregate": lambda: stores.build_silver_aggregated(
+            spark, args.clickstream, args.attributes, args.financials, args.out, day
+        ),
+        "gold-labels": lambda: stores.build_gold_labels(spark, args.silver, args.out, day, args.dpd, args.mob),
+        "gold-features": lambda: stores.build_gold_features(spark, args.aggregated, args.out, day),
+        "label-store": lambda: stores.run_label_store(spark, args.loans, args.root, args.start, args.end, args.dpd, args.mob),
+        "feature-store": lambda: stores.run_feature_store(
+            spark, {s: getattr(args, s) for s in stores.SOURCES}, args.root, args.start, args.end
+        ),
+    }
+    built = jobs[args.command]()
+    if isinstance(built, stores.Built) and built.skipped:
+        print(f"skipped for want of an input: {', '.join(built.skipped)}", file=sys.stderr)
 
 
 def main(argv: list[str] | None = None) -> None:

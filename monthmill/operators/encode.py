@@ -8,23 +8,23 @@ from pyspark.sql import functions as F
 from ..functions.text import snake_case, split_list
 
 
-def vocabulary(df: DataFrame, column: str, max_values: int = 1000) -> list[str]:
-    """The sorted distinct non-NULL values of a column, failing above ``max_values``."""
-    rows = df.select(column).where(F.col(column).isNotNull()).distinct().limit(max_values + 1).collect()
-    if len(rows) > max_values:
-        raise ValueError(f"{column} has more than {max_values} values")
-    return sorted(row[0] for row in rows)
+def vocabulary(df: DataFrame, column: str) -> list[str]:
+    """The sorted distinct non-NULL values of a column. They become columns, so the driver has to know them."""
+    return sorted(row[0] for row in df.select(column).where(F.col(column).isNotNull()).distinct().collect())
 
 
 def one_hot(df: DataFrame, column: str, values: list[str], prefix: str) -> DataFrame:
     """Replace ``column`` by 0/1 columns ``<prefix><value in lower case>``.
 
     Rows equal but for ``column`` become one row. A conditional ``max`` per
-    value needs one shuffle, a pivot two.
+    value needs one shuffle, a pivot two. Values equal but for their case share a column.
     """
     keys = [c for c in df.columns if c != column]
+    spellings: dict[str, list[str]] = {}
+    for value in values:
+        spellings.setdefault(value.lower(), []).append(value)
     return df.groupBy(*keys).agg(
-        *[F.max(F.when(F.col(column) == v, 1).otherwise(0)).alias(prefix + v.lower()) for v in values]
+        *[F.max(F.when(F.col(column).isin(same), 1).otherwise(0)).alias(prefix + v) for v, same in spellings.items()]
     )
 
 

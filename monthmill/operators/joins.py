@@ -1,91 +1,26 @@
-"""Inner joins on shared keys that spread hot keys over many tasks."""
+"""Inner joins on shared keys, whose hot keys are split while the query runs."""
 
 from __future__ import annotations
 
 from functools import reduce
-from math import ceil
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-# The sketch finds every key with more than about 1/9,000 of a side's rows. There
-# are fewer such keys than the limit, so none of them is cut off by it.
-TRACKED_KEYS = 1 << 15
-MAX_HOT_KEYS = 10_000
-SKETCH_GROUPS = 256
-ROWS_PER_TASK = 4_000_000
+#: Settings without which a key with a large share of the rows on either side would stay in one task.
+SKEW_SETTINGS = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    # A chain of joins on the same keys is only split if an extra shuffle is allowed.
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+}
 
 
-def hot_keys(sides: list[DataFrame], on: list[str], rows_per_task: int = ROWS_PER_TASK) -> dict[int, dict[int, int]]:
-    """Keys with more than ``rows_per_task`` rows on some side.
+def join_all(sides: list[DataFrame], on: list[str]) -> DataFrame:
+    """``sides[0] JOIN sides[1] JOIN … USING (on)``, inner, with adaptive skew splitting switched on.
 
-    Returns ``{hash of key: {side: rows}}``. The scan reads only the key
-    columns and shuffles one frequent-items sketch per task, merged in two
-    steps. At most ``MAX_HOT_KEYS`` entries per side come to the driver; they
-    decide how work is spread, never which rows are in the result.
+    The optimizer picks broadcast or sort-merge from real sizes; a partition much larger than the others is read in
+    pieces, on both sides if both are large. No job runs before the result is asked for.
     """
-    hashes = reduce(
-        DataFrame.unionAll,
-        [
-            side.dropna(subset=on).select(F.lit(i).alias("side"), F.xxhash64(*on).alias("key"))
-            for i, side in enumerate(sides)
-        ],
-    )
-    top = (
-        hashes.groupBy("side", (F.spark_partition_id() % SKETCH_GROUPS).alias("part"))
-        .agg(F.expr(f"approx_top_k_accumulate(key, {TRACKED_KEYS})").alias("sketch"))
-        .groupBy("side")
-        .agg(F.expr(f"approx_top_k_estimate(approx_top_k_combine(sketch, {TRACKED_KEYS}), {MAX_HOT_KEYS})").alias("top"))
-        .select("side", F.inline("top"))
-        .where(F.col("count") > rows_per_task)
-    )
-    found: dict[int, dict[int, int]] = {}
-    for row in top.collect():
-        found.setdefault(row["item"], {})[row["side"]] = row["count"]
-    return found
-
-
-def spread_join(sides: list[DataFrame], on: list[str], rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
-    """``sides[0] JOIN sides[1] JOIN … USING (on)``, inner.
-
-    Without hot keys this is the plain join, for which the optimizer picks
-    broadcast or sort-merge. For a hot key the side with most rows is cut into
-    pieces and its rows on the other sides are repeated once per piece. All
-    joins of the chain use the same keys, so each side is shuffled only once.
-    """
-    hot = hot_keys(sides, on, rows_per_task)
-    if not hot:
-        return reduce(lambda left, right: left.join(right, on), sides)
-    spark = sides[0].sparkSession
-    cuts = spark.createDataFrame(
-        [(key, *_cut(rows, rows_per_task)) for key, rows in hot.items()], "_key long, _cut int, _pieces long"
-    )
-    spread = [_spread(side, i, on, cuts) for i, side in enumerate(sides)]
-    return reduce(lambda left, right: left.join(right, [*on, "_piece"]), spread).drop("_piece")
-
-
-def _cut(rows: dict[int, int], rows_per_task: int) -> tuple[int, int]:
-    side = max(rows, key=rows.get)
-    output = reduce(lambda a, b: a * b, rows.values())
-    return side, min(rows[side], ceil(output / rows_per_task))
-
-
-def _spread(df: DataFrame, side: int, on: list[str], cuts: DataFrame) -> DataFrame:
-    """Add ``_piece``: one piece per row on the cut side, every piece elsewhere.
-
-    The piece comes from the row's content and its input partition. Both stay
-    the same when a lost task is run again. The partition tells exact copies
-    of a row apart, so that no piece gets more of them than a few input splits hold.
-    """
-    columns = df.columns
-    pieces = F.coalesce(F.col("_pieces"), F.lit(1))
-    own = F.array(F.pmod(F.col("_row"), pieces))
-    return (
-        df.dropna(subset=on)
-        .select(*columns, F.xxhash64(*columns, F.spark_partition_id()).alias("_row"), F.xxhash64(*on).alias("_key"))
-        .join(F.broadcast(cuts), "_key", "left")
-        .select(
-            *columns,
-            F.explode(F.when(F.col("_cut") == side, own).otherwise(F.sequence(F.lit(0).cast("long"), pieces - 1))).alias("_piece"),
-        )
-    )
+    for key, value in SKEW_SETTINGS.items():
+        sides[0].sparkSession.conf.set(key, value)
+    return reduce(lambda left, right: left.join(right, on), sides)

@@ -8,20 +8,25 @@ buckets on a logarithmic scale and picks the bucket that holds the rank; each
 further pass cuts the picked range into a million slots. Every pass is a map-side
 combined count, a group never has more buckets than the scale has, and equal
 values collapse before the shuffle. For 4-byte floats two passes are exact,
-for int three, for double four.
+for int three, for double and bigint four, for decimals as many as their digits need.
+Values keep their own type: only the choice of a bucket or slot goes through
+double, which never reverses an order. The picked ranges come as one row per group and meet the
+rows before these are taken apart by column, so a pass shuffles narrow rows at most
+once, and the optimizer broadcasts the ranges if they are small.
 """
 
 from __future__ import annotations
 
+from math import ceil
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .bounded import bounded_broadcast
-
 STEPS_PER_OCTAVE = 16
 SLOTS = 1 << 20
 # Passes after which a slot is narrower than the gap between two values of the type.
 PASSES = {"float": 2, "tinyint": 2, "smallint": 2, "int": 3}
+EXACT_IN_DOUBLE = {"float", "double", "tinyint", "smallint", "int"}
 
 LOWER, UPPER, DISCRETE = 0, 1, 2
 
@@ -40,16 +45,40 @@ def quantiles(
     """
     by = by or []
     types = dict(df.select(*wanted).dtypes)
-    values = F.expr(_arrays(f"cast(`{c}` as double)" for c in wanted))
-    long = df.select(*by, F.posexplode(values).alias("column", "value")).where(F.col("value").isNotNull())
+    # Columns whose values double holds exactly are counted in one scan; each other type is counted as it is.
+    families: dict[str, dict[str, dict[str, float]]] = {}
+    for c, named in wanted.items():
+        families.setdefault("double" if types[c] in EXACT_IN_DOUBLE else types[c], {})[c] = named
+    keys = by or ["_all"]
+    rows = df if by else df.withColumn("_all", F.lit(0))
+    found = [_of_one_type(rows, family, named, keys, linear, types) for family, named in families.items()]
+    out = found[0]
+    for i, more in enumerate(found[1:]):
+        more = more.withColumnsRenamed({k: f"_{i}_{k}" for k in keys})
+        same = [F.col(k).eqNullSafe(F.col(f"_{i}_{k}")) for k in keys]
+        out = out.join(more, same, "full").withColumns({k: F.coalesce(k, f"_{i}_{k}") for k in keys})
+    return out.select(*by, *(f"{c}_{name}" for c, named in wanted.items() for name in named))
+
+
+def _passes(kind: str) -> int:
+    if kind.startswith("decimal"):
+        digits = int(kind[len("decimal(") :].split(",")[0])
+        return 1 + ceil((digits * 3.33 - 4) / 20)
+    return PASSES.get(kind, 4)
+
+
+def _of_one_type(df: DataFrame, family: str, wanted, by: list[str], linear: bool, types: dict[str, str]) -> DataFrame:
+    values = df.select(*by, F.expr(_arrays(f"cast(`{c}` as {family})" for c in wanted)).alias("_values"))
+    long = values.select(*by, F.posexplode("_values").alias("column", "value")).where(F.col("value").isNotNull())
     picked = _first_pick(long, wanted, by, linear)
-    for _ in range(max(PASSES.get(t, 4) for t in types.values()) - 1):
-        picked = _narrow(long, picked, by)
+    for _ in range(max(_passes(types[c]) for c in wanted) - 1):
+        picked = _narrow(values, picked, by)
     return _wide(picked, wanted, by, linear, types)
 
 
 def _bucket(v: Column) -> Column:
     """A number that never falls as ``v`` rises, at most 70,000 of them."""
+    v = v.cast("double")
     magnitude = (F.floor(F.log2(F.abs(v)) * STEPS_PER_OCTAVE) + 20_000).cast("int")
     return (
         F.when(F.isnan(v), 2_000_000)
@@ -62,7 +91,8 @@ def _bucket(v: Column) -> Column:
 
 
 def _slot(v: Column, low: Column, high: Column) -> Column:
-    share = F.try_divide(v - low, high - low)
+    # The difference of two bigints of one bucket fits, as they share their sign.
+    share = F.try_divide((v - low).cast("double"), (high - low).cast("double"))
     return F.when(low == high, 0).otherwise(F.least(F.floor(share * SLOTS).cast("int"), F.lit(SLOTS - 1)))
 
 
@@ -113,15 +143,20 @@ def _first_pick(long: DataFrame, wanted, by: list[str], linear: bool) -> DataFra
     )
 
 
-def _narrow(long: DataFrame, picked: DataFrame, by: list[str]) -> DataFrame:
+def _narrow(values: DataFrame, picked: DataFrame, by: list[str]) -> DataFrame:
     """Find each rank again within its picked range, now cut into slots."""
     keys = [*by, "column", "name", "end", "share", "rank"]
     so_far = (
         Window.partitionBy(*keys).orderBy("slot").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    ranges = bounded_broadcast(picked.withColumnsRenamed({"low": "from", "high": "to"}))
+    # As many ranges per group as there are wanted quantiles.
+    pick = F.struct("column", "name", "end", "share", "rank", F.col("low").alias("from"), F.col("high").alias("to"))
+    ranges = picked.groupBy(*[F.col(b).alias(f"_{b}") for b in by]).agg(F.collect_list(pick).alias("_picks"))
+    joined = values.join(ranges, [F.col(b).eqNullSafe(F.col(f"_{b}")) for b in by])
+    value = F.get("_values", F.col("p.column"))
     inside = (
-        long.join(ranges, [*by, "column"])
+        joined.select(*by, "_values", F.explode("_picks").alias("p"))
+        .select(*by, "p.*", value.alias("value"))
         .where(F.col("value").between(F.col("from"), F.col("to")))
         .withColumn("slot", _slot(F.col("value"), F.col("from"), F.col("to")))
     )
@@ -143,7 +178,7 @@ def _wide(picked: DataFrame, wanted, by: list[str], linear: bool, types: dict[st
         for name in named:
             if linear:
                 low, high, share = pick(i, name, LOWER), pick(i, name, UPPER), pick(i, name, LOWER, "share")
-                value = f"{low} + ({high} - {low}) * {share}"
+                value = f"cast({low} as double) + (cast({high} as double) - cast({low} as double)) * {share}"
             else:
                 value = f"cast({pick(i, name, DISCRETE)} as {types[c]})"
             out.append(F.expr(f"{value} as `{c}_{name}`"))

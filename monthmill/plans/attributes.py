@@ -11,6 +11,9 @@ from ..operators.shape import enforce, rename
 from ..schemas import ATTRIBUTE_RENAMES, ATTRIBUTE_TYPES, SSN_FORMAT
 
 
+OCCUPATION_PREFIX = "occupation_"
+
+
 def clean_attributes(bronze: DataFrame) -> DataFrame:
     """Age without underscores, occupation as letters, malformed SSNs and blanks as NULL."""
     return rename(bronze, ATTRIBUTE_RENAMES).withColumns(
@@ -31,4 +34,4 @@ def silver_attributes(bronze: DataFrame, occupations: list[str] | None = None) -
     cleaned = clean_attributes(bronze)
     if occupations is None:
         occupations = vocabulary(cleaned, "occupation")
-    return enforce(one_hot(cleaned, "occupation", occupations, "occupation_"), ATTRIBUTE_TYPES)
+    return enforce(one_hot(cleaned, "occupation", occupations, OCCUPATION_PREFIX), ATTRIBUTE_TYPES)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -14,7 +16,6 @@ from ..functions.numeric import (
     total_months,
 )
 from ..functions.text import blank_to_null, number_before, snake_case, strip_token, strip_underscores
-from ..operators.bounded import bounded_broadcast
 from ..operators.encode import multi_hot
 from ..operators.quantiles import quantiles
 from ..operators.shape import enforce, rename
@@ -66,7 +67,7 @@ def financial_statistics(cleaned: DataFrame) -> DataFrame:
 
 def impute_and_clip(cleaned: DataFrame, statistics: DataFrame) -> DataFrame:
     """NULLs become the snapshot's median; values are held between 0 and the column's cap."""
-    joined = cleaned.join(bounded_broadcast(statistics), SNAPSHOT, "left")
+    joined = cleaned.join(statistics, SNAPSHOT, "left")
 
     def held(c):
         cap = F.lit(FIXED_CAPS[c]).cast("float") if c in FIXED_CAPS else F.col(f"{c}_cap")
@@ -98,13 +99,16 @@ def encode_financials(df: DataFrame) -> DataFrame:
     )
 
 
-def silver_financials(bronze: DataFrame, strip_and: bool = False) -> DataFrame:
-    """The typed financial table of all given snapshots in one pass over the rows.
+def silver_financials(
+    bronze: DataFrame, strip_and: bool = False, keep: Callable[[DataFrame], DataFrame] = lambda cleaned: cleaned
+) -> DataFrame:
+    """The typed financial table of all given snapshots.
 
     Medians and caps are those of each snapshot, taken from the values before
-    clipping. Rows equal but for their loan list become one row.
+    clipping. Rows equal but for their loan list become one row. ``keep`` may write the
+    cleaned rows and read them back, so that the text is parsed once and the statistics scan narrow columns.
     """
-    cleaned = clean_financials(bronze, strip_and)
+    cleaned = keep(clean_financials(bronze, strip_and))
     clipped = impute_and_clip(cleaned, financial_statistics(cleaned))
     types = {**FINANCIAL_TYPES, **{snake_case(k): "int" for k in LOAN_KINDS}}
     return enforce(encode_financials(count_loan_types(clipped)), types, strict=True)

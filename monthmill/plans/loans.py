@@ -7,8 +7,8 @@ from datetime import date
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.dates import days_between, months_before
-from ..functions.numeric import at_least, whole_ratio
+from ..functions.dates import MAX_MONTHS, days_between, months_before
+from ..functions.numeric import MAX_INT, at_least, whole_ratio
 from ..operators.shape import enforce, rename
 from ..schemas import LABEL_COLUMNS, LOAN_RENAMES, LOAN_TYPES
 
@@ -18,7 +18,9 @@ def silver_loans(bronze: DataFrame, renames: dict[str, str] = LOAN_RENAMES) -> D
 
     Missed installments are the amount overdue over the amount due, rounded
     up. Every numeric NULL becomes 0. A loan overdue without an amount due has
-    no first missed date, and so no days past due. A projection, no shuffle.
+    no first missed date, and so no days past due. One that has missed more installments than
+    a date can go back has no first missed date either, but the most days past due that an int holds. A
+    projection, no shuffle.
     """
     typed = enforce(rename(bronze, renames), LOAN_TYPES)
     filled = typed.withColumns(
@@ -34,7 +36,8 @@ def silver_loans(bronze: DataFrame, renames: dict[str, str] = LOAN_RENAMES) -> D
     return dated.withColumn(
         "dpd",
         F.when(
-            F.col("overdue_amt") > 0, days_between(F.col("snapshot_date"), F.col("first_missed_date"))
+            F.col("overdue_amt") > 0,
+            F.when(missed > MAX_MONTHS, MAX_INT).otherwise(days_between(F.col("snapshot_date"), F.col("first_missed_date"))),
         ).otherwise(0),
     )
 

@@ -39,6 +39,26 @@ FINANCIAL_RENAMES = {
     "Monthly_Balance": "monthly_balance",
 }
 
+# Columns of the raw files, in their order.
+RAW_COLUMNS = {
+    "loans": [
+        "loan_id",
+        "Customer_ID",
+        "loan_start_date",
+        "tenure",
+        "installment_num",
+        "loan_amt",
+        "due_amt",
+        "paid_amt",
+        "overdue_amt",
+        "balance",
+        "snapshot_date",
+    ],
+    "clickstream": [*(f"fe_{i}" for i in range(1, 21)), "Customer_ID", "snapshot_date"],
+    "attributes": [*ATTRIBUTE_RENAMES, "snapshot_date"],
+    "financials": [*FINANCIAL_RENAMES, "snapshot_date"],
+}
+
 # Types of the silver tables.
 LOAN_TYPES = {
     "loan_id": "string",
@@ -148,23 +168,6 @@ TRANSACTION_SCALE = {"Large_value": 3, "Medium_value": 2, "Small_value": 1}
 
 # Attribute formats.
 SSN_FORMAT = r"^\d{3}-\d{2}-\d{4}$"
-OCCUPATIONS = [
-    "Accountant",
-    "Architect",
-    "Developer",
-    "Doctor",
-    "Engineer",
-    "Entrepreneur",
-    "Journalist",
-    "Lawyer",
-    "Manager",
-    "Mechanic",
-    "MediaManager",
-    "Musician",
-    "Scientist",
-    "Teacher",
-    "Writer",
-]
 
 # Feature tables.
 MODE_IMPUTED = [

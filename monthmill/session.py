@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -37,18 +37,20 @@ def build_session(app_name: str = "monthmill", master: str | None = None, **conf
     return builder.getOrCreate()
 
 
-def staging_root(spark: SparkSession) -> str:
-    """A fresh folder below ``spark.checkpoint.dir``.
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder of whatever store its URI names, if it is there."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
-    Only a local session may do without that setting; on a cluster a folder
-    of one machine would be lost with it.
-    """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if not shared:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-        shared = tempfile.mkdtemp(prefix="monthmill-")
-    return os.path.join(shared, f"stage-{uuid.uuid4().hex}")
+
+@contextmanager
+def staging(spark: SparkSession, root: str) -> Iterator[str]:
+    """A fresh folder below ``root``, which all executors must reach; it goes when the block ends."""
+    path = f"{root.rstrip('/')}/stage-{uuid.uuid4().hex}"
+    try:
+        yield path
+    finally:
+        delete_folder(spark, path)
 
 
 def stage(df: DataFrame, root: str, name: str) -> DataFrame:
@@ -57,12 +59,18 @@ def stage(df: DataFrame, root: str, name: str) -> DataFrame:
     Cuts the lineage at a layer boundary, so that a lost executor costs one
     layer and not the whole chain, and later scans read only their columns.
     """
-    path = os.path.join(root, name)
+    path = f"{root}/{name}"
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def at_once(*jobs: Callable) -> list:
-    """Run independent Spark jobs side by side, so that the tail of one leaves no core idle."""
+    """Run independent Spark jobs side by side, so that the tail of one leaves no core idle.
+
+    They keep the caller's job group, scheduler pool and other local properties.
+    """
+    if not jobs:
+        return []
+    inherit = inheritable_thread_target(SparkSession.active())
     with ThreadPoolExecutor(len(jobs)) as pool:
-        return [done.result() for done in [pool.submit(job) for job in jobs]]
+        return [done.result() for done in [pool.submit(inherit(job)) for job in jobs]]

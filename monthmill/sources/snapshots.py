@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from datetime import date
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.dates import month_starts
 from ..schemas import SNAPSHOT
+from ..session import at_once
 
 
 class MissingSnapshot(LookupError):
@@ -93,30 +95,51 @@ def write_snapshots(
         .save(root)
     )
     empty = df.sparkSession.createDataFrame([], df.drop(SNAPSHOT).schema)
-    for day in sorted(set(dates or []) - set(seen.get["dates"])):
-        empty.write.options(**options).format(format).mode("overwrite").save(f"{root}/{SNAPSHOT}={day}")
-    return seen.get["rows"]
 
+    def mark(day):
+        return lambda: empty.write.options(**options).format(format).mode("overwrite").save(f"{root}/{SNAPSHOT}={day}")
 
-def read_snapshots(spark: SparkSession, root: str, dates: list[str] | None = None) -> DataFrame:
-    """A snapshot table, or some of its snapshots; all of ``dates`` must exist."""
+    found = _observed(seen)
+    at_once(*[mark(day) for day in sorted(set(dates or []) - set(found["dates"]))])
+    return found["rows"]
+
+
+def _observed(seen: Observation) -> dict:
+    try:
+        return seen.get
+    except Py4JJavaError:
+        # Where the optimizer knows that there are no rows, the observation has none either.
+        return {"rows": 0, "dates": []}
+
+
+def snapshots_in(spark: SparkSession, root: str) -> list[str]:
+    """The snapshots a table has, empty ones too, by its folders; none where there is no table."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(root)
+    store = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not store.exists(folder):
+        return []
+    names = [status.getPath().getName() for status in store.listStatus(folder)]
+    return sorted(n.removeprefix(f"{SNAPSHOT}=") for n in names if n.startswith(f"{SNAPSHOT}="))
+
+
+def read_snapshots(
+    spark: SparkSession, root: str, dates: list[str] | None = None, format: str = "parquet", columns: list[str] | None = None
+) -> DataFrame:
+    """A snapshot table, or some of its snapshots; all of ``dates`` must exist.
+
+    A column that only some snapshots have is NULL in the others. A CSV table needs ``columns``, its columns in their
+    order; every file's header is checked against them.
+    """
     paths = [f"{root}/{SNAPSHOT}={d}" for d in dates] if dates else [root]
+    reader = spark.read.option("basePath", root)
     try:
-        return spark.read.option("basePath", root).parquet(*paths)
+        if format == "csv":
+            kept = [c for c in columns or [] if c != SNAPSHOT]
+            reader = reader.option("header", True).option("escape", '"').option("enforceSchema", False)
+            found = reader.schema(", ".join(f"`{c}` string" for c in kept)).csv(paths)
+            return found.withColumn(SNAPSHOT, F.col(SNAPSHOT).cast("date"))
+        return reader.option("mergeSchema", True).parquet(*paths)
     except AnalysisException as error:
         if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             raise MissingSnapshot(str(error)) from error
         raise
-
-
-def read_if_present(spark: SparkSession, root: str, dates: list[str] | None = None) -> DataFrame | None:
-    """The same, or None where the table or one of the snapshots is missing."""
-    try:
-        return read_snapshots(spark, root, dates)
-    except MissingSnapshot:
-        return None
-
-
-def read_all(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """Separate snapshot folders as one table; a column absent from some is NULL there."""
-    return spark.read.option("mergeSchema", True).parquet(*paths)

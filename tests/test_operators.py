@@ -10,9 +10,8 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from monthmill.operators import profile
-from monthmill.operators.bounded import bounded_broadcast
 from monthmill.operators.encode import multi_hot, one_hot, vocabulary
-from monthmill.operators.joins import hot_keys, spread_join
+from monthmill.operators.joins import join_all
 from monthmill.operators.modes import fill_with_modes, modes
 from monthmill.operators.quantiles import quantiles
 from monthmill.operators.shape import column_info, drop_columns, enforce, rename
@@ -58,6 +57,22 @@ def test_discrete_quantiles_are_exact(spark, kind):
             assert order(row[f"v_{name}"]) == order(disc(ranked, p)) or (row[f"v_{name}"] != row[f"v_{name}"])
 
 
+def test_quantiles_keep_bigints_and_decimals_whole(spark):
+    from decimal import Decimal
+
+    data = [(g, 2**60 + 2 * i + 1, Decimal(f"{10**15 + i}.0000000{i % 10}01"), float(i)) for g in (None, 1) for i in range(101)]
+    df = spark.createDataFrame(data, "g int, b bigint, d decimal(30,10), x float")
+    wanted = {c: {"low": 0.01, "median": 0.5, "top": 1.0} for c in ("b", "d", "x")}
+    got = {r["g"]: r for r in quantiles(df, wanted, ["g"]).collect()}
+    for i, name in ((1, "low"), (50, "median"), (100, "top")):
+        for g in (None, 1):
+            assert (got[g][f"b_{name}"], got[g][f"d_{name}"], got[g][f"x_{name}"]) == data[i][1:], (g, name)
+    assert dict(quantiles(df, wanted).dtypes)["d_median"] == "decimal(30,10)"
+    assert quantiles(df, wanted).first()["b_median"] == 2**60 + 101
+    signs = spark.createDataFrame([(v,) for v in (-(2**63), -1, 0, 2**63 - 1)], "v bigint")
+    assert tuple(quantiles(signs, {"v": {f"q{i}": i / 4 for i in (1, 2, 3, 4)}}).first()) == (-(2**63), -1, 0, 2**63 - 1)
+
+
 def test_linear_quantiles_match_numpy(spark):
     rng = random.Random(3)
     data = [rng.gauss(50, 20) for _ in range(999)]
@@ -66,6 +81,11 @@ def test_linear_quantiles_match_numpy(spark):
     assert np.allclose([row[0], row[1]], np.percentile(data, [25, 75]), rtol=1e-14)
 
 
+def test_first_rows_are_always_the_same(spark):
+    df = spark.createDataFrame([(2, "x"), (1, "b"), (1, "a"), (3, None)], "k int, v string")
+    assert [tuple(r) for r in profile.first_rows(df, 2, ["k"]).collect()] == [(1, "a"), (1, "b")]
+
+
 def test_quantiles_with_most_rows_in_one_group_and_value(spark):
     df = spark.range(90_000).select(
         F.when(F.col("id") % 3 == 0, F.col("id") % 7).otherwise(99).alias("g"),
@@ -99,46 +119,46 @@ def test_mode_counts_null_and_breaks_ties_by_least_value(spark):
 # Joins
 
 
-def test_spread_join_equals_join_under_hot_keys_and_copies(spark):
-    left = spark.range(6000).select(F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 500).alias("k"), F.lit("copy").alias("l"))
-    middle = spark.range(600).select((F.col("id") % 300).alias("k"), F.col("id").alias("m"))
-    right = spark.range(400).select(F.when(F.col("id") < 40, 1).otherwise(F.col("id")).alias("k"), F.col("id").alias("r"))
-    right = right.union(spark.createDataFrame([(None, 1)], "k long, r long"))
-    sides = [left, middle, right]
-    hot = hot_keys(sides, ["k"], 30)
-    # 2,000 ids divisible by 3, and 8 other multiples of 500.
-    assert sorted(hot.values(), key=str) == [{0: 2008}, {2: 40}]
-    plain = left.join(middle, "k").join(right, "k")
-    spread = spread_join(sides, ["k"], 30)
-    assert spread.columns == plain.columns
-    assert Counter(map(tuple, spread.collect())) == Counter(map(tuple, plain.collect()))
-
-
-def test_spread_join_cuts_the_hot_key_into_many_tasks(spark):
-    # Exact copies are told apart by their input partition, so they come in many.
-    left = spark.range(0, 40_000, 1, 64).select(F.lit(1).alias("k"), F.lit("same").alias("l"))
-    right = spark.range(3).select(F.lit(1).alias("k"), F.col("id").alias("r"))
-    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
-    try:
-        sizes = [len(p) for p in spread_join([left, right], ["k"], 1000).rdd.glom().collect()]
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
-        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
-    assert sum(sizes) == 120_000 and max(sizes) < 48_000
+def no_jobs(spark, build):
+    """What ``build`` returns, and that it started no Spark job."""
+    spark.sparkContext.setJobGroup("plan", "plan building")
+    built = build()
+    assert not spark.sparkContext.statusTracker().getJobIdsForGroup("plan")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    return built
 
 
-def test_no_hot_key_means_the_plain_join(spark):
-    left = spark.range(100).withColumnRenamed("id", "k")
-    assert hot_keys([left, left], ["k"]) == {}
-    assert spread_join([left, left.withColumn("x", F.lit(1))], ["k"]).count() == 100
+def test_join_all_is_the_inner_join_of_all_sides(spark):
+    left = spark.range(60).select((F.col("id") % 7).alias("k"), F.col("id").alias("l"))
+    middle = spark.range(9).select((F.col("id") % 3).alias("k"), F.col("id").alias("m"))
+    right = spark.createDataFrame([(0, 1), (1, 2), (None, 3)], "k long, r long")
+    joined = no_jobs(spark, lambda: join_all([left, middle, right], ["k"]))
+    assert joined.columns == ["k", "l", "m", "r"]
+    assert Counter(map(tuple, joined.collect())) == Counter(map(tuple, left.join(middle, "k").join(right, "k").collect()))
 
 
-def test_bounded_broadcast_fails_instead_of_dropping_rows(spark):
-    assert bounded_broadcast(spark.range(10), 10).count() == 10
-    with pytest.raises(PySparkException):
-        bounded_broadcast(spark.range(11), 10).collect()
+def test_a_key_with_half_of_the_rows_on_both_sides_is_split(spark):
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "16k",
+    }
+    before = {k: spark.conf.get(k) for k in settings}
+
+    def side(n, name):
+        key = F.when(F.col("id") % 2 == 0, 0).otherwise(F.col("id"))
+        return spark.range(0, n, 1, 16).select(key.alias("k"), F.sha2(F.col("id").cast("string"), 256).alias(name))
+
+    try:
+        for key, value in settings.items():
+            spark.conf.set(key, value)
+        joined = join_all([side(6000, "a"), side(600, "b")], ["k"])
+        n = joined.select(F.count(F.lit(1)).alias("n"), F.bit_xor(F.hash("a", "b")))
+        assert n.collect()[0][0] == 3000 * 300 + 300
+        assert "SortMergeJoin(skew=true)" in n._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
 
 
 # Encodings and shape
@@ -148,8 +168,14 @@ def test_one_hot_merges_rows_equal_but_for_the_value(spark):
     df = spark.createDataFrame([("a", "X"), ("a", "Y"), ("b", None), ("c", "Z")], "id string, o string")
     assert vocabulary(df, "o") == ["X", "Y", "Z"]
     assert rows(one_hot(df, "o", ["X", "Y"], "o_")) == [("a", 1, 1), ("b", 0, 0), ("c", 0, 0)]
-    with pytest.raises(ValueError):
-        vocabulary(df, "o", max_values=2)
+    many = spark.range(1500).select(F.col("id").cast("string").alias("o"))
+    assert len(vocabulary(many, "o")) == 1500
+
+
+def test_one_hot_joins_values_that_differ_in_case(spark):
+    df = spark.createDataFrame([("a", "Cook"), ("b", "cook"), ("b", "COOK"), ("c", None)], "id string, o string")
+    got = one_hot(df, "o", vocabulary(df, "o"), "o_")
+    assert got.columns == ["id", "o_cook"] and rows(got) == [("a", 1), ("b", 1), ("c", 0)]
 
 
 def test_multi_hot(spark):

@@ -9,10 +9,10 @@ from monthmill.checks import views
 from monthmill.plans import stores
 from monthmill.plans.attributes import silver_attributes
 from monthmill.plans.clickstream import silver_clickstream
-from monthmill.plans.features import gold_features, silver_aggregated
+from monthmill.plans.features import gold_features, join_features, silver_aggregated
 from monthmill.plans.financials import FINANCIAL_RENAMES, clean_financials, silver_financials
 from monthmill.plans.loans import bad_rate_by_mob, gold_labels, silver_loans
-from monthmill.schemas import FIXED_CAPS, LOAN_KINDS, OCCUPATIONS, QUANTILE_CLIPPED
+from monthmill.schemas import FIXED_CAPS, LOAN_KINDS, QUANTILE_CLIPPED
 from monthmill.functions.text import snake_case
 
 D = date(2023, 3, 31)
@@ -40,6 +40,8 @@ def test_days_past_due(spark, ansi):
         ("10", "10", 1, date(2023, 2, 28), 31, 1),
         ("2130.3", "710.1", 4, date(2022, 11, 30), 121, 1),
         ("junk", "10", 0, None, 0, 0),
+        # More months missed than a date, or an int, can hold: the worst loan, not the best.
+        ("100000", "0.00001", 2**31 - 1, None, 2**31 - 1, 1),
     ]
     raw = loan_rows(spark, [{"loan_id": str(i), "overdue_amt": c[0], "due_amt": c[1]} for i, c in enumerate(cases)])
     silver = silver_loans(raw)
@@ -98,7 +100,7 @@ def test_attributes(spark, ansi):
         ("d", "N", "", None, "Doctor"),
     ]
     raw = spark.createDataFrame([(*r, date(2023, 1, 1)) for r in rows], "Customer_ID string, Name string, Age string, SSN string, Occupation string, snapshot_date date")
-    got = {r["customer_id"]: r.asDict() for r in silver_attributes(raw, OCCUPATIONS).collect()}
+    got = {r["customer_id"]: r.asDict() for r in silver_attributes(raw, ["Doctor", "Lawyer", "MediaManager", "Writer"]).collect()}
     assert [(got[k]["age"], got[k]["ssn"]) for k in "abcd"] == [(41, "230-22-9583"), (-500, None), (None, None), (None, None)]
     on = {k: sorted(c for c, v in r.items() if c.startswith("occupation_") and v) for k, r in got.items()}
     assert on == {"a": ["occupation_mediamanager"], "b": [], "c": [], "d": ["occupation_doctor", "occupation_lawyer"]}
@@ -161,7 +163,7 @@ def test_aggregated_and_gold(spark):
         "customer_id string, snapshot_date date, credit_mix_encoded int, spending_level_encoded int, transaction_value_encoded int, num_credit_inquiries int, credit_mix string",
     )
     clicks = spark.createDataFrame([("a", day, 1, "l1"), ("a", day, 1, "l2"), ("b", day, 2, "l3")], "customer_id string, snapshot_date date, fe_1 int, loan_id string")
-    aggregated = silver_aggregated(attributes, financials, clicks)
+    aggregated = silver_aggregated(join_features(attributes, financials, clicks))
     got = {r["loan_id"]: r for r in aggregated.collect()}
     assert set(got) == {"l1", "l2", "l3"}
     # NULL is the most frequent credit mix, so it stays; the others are filled.
@@ -197,7 +199,7 @@ def test_feature_store_run(spark, mart):
     assert gold.count() == spark.read.parquet(m.silver("aggregated")).count() > 0
     # A rerun replaces, it does not add.
     before = spark.read.parquet(m.gold("labels")).count()
-    assert stores.build_gold_labels(spark, m, dates) == before
+    assert stores.build_gold_labels(spark, m.silver("loans"), m.gold("labels"), dates) == stores.Built(before)
     assert spark.read.parquet(m.gold("labels")).count() == before
 
 
@@ -205,13 +207,47 @@ def test_missing_tables(spark, mart, tmp_path):
     _, m, _ = mart
     out, day = str(tmp_path / "out"), ["1996-02-01"]
     missing = str(tmp_path / "missing")
-    assert stores.build_silver_aggregated(spark, m.silver("clickstream"), missing, m.silver("financials"), out, day) is None
-    assert stores.build_gold_features(spark, missing, out, day) is None
-    assert stores.build_gold_features(spark, m.silver("aggregated"), out, ["2020-01-01"]) is None
-    assert stores.build_silver_clickstream(spark, stores.Mart(missing), day) is None
+    none = stores.Built(0, day)
+    assert stores.build_silver_aggregated(spark, m.silver("clickstream"), missing, m.silver("financials"), out, day) == none
+    assert stores.build_gold_features(spark, missing, out, day) == none
+    assert stores.build_gold_features(spark, m.silver("aggregated"), out, ["2020-01-01"]) == stores.Built(0, ["2020-01-01"])
+    assert stores.build_silver_clickstream(spark, m.bronze("clickstream"), missing, out, day) == none
     assert not (tmp_path / "out").exists()
 
 
+def test_one_absent_month_costs_that_month_only(spark, mart, tmp_path):
+    _, m, gold = mart
+    dates = ["1996-01-01", "1996-02-01", "2020-01-01", "1996-03-01"]
+    built = stores.build_gold_features(spark, m.silver("aggregated"), str(tmp_path / "g"), dates)
+    assert built.skipped == ["2020-01-01"]
+    assert built.rows == gold.where(F.col("snapshot_date") < date(1996, 4, 1)).count()
+    # The report of NULLs stands beside the table.
+    report = spark.read.parquet(str(tmp_path / "g_nulls"))
+    assert set(report.columns) == {"snapshot_date", "column_name", "null_count", "null_pct"}
+
+
+def test_vocabulary_grows_from_month_to_month(spark, tmp_path):
+    def bronze(day, occupation):
+        row = [("c", "n", "30", "230-22-9583", occupation, date.fromisoformat(day))]
+        raw = spark.createDataFrame(row, "Customer_ID string, Name string, Age string, SSN string, Occupation string, snapshot_date date")
+        stores.build_bronze(spark, raw, str(tmp_path / "b"), [day])
+        stores.build_silver_attributes(spark, str(tmp_path / "b"), str(tmp_path / "s"), [day])
+
+    bronze("2023-01-01", "Doctor")
+    bronze("2023-02-01", "Engineer")
+    got = stores.read_attributes(spark, str(tmp_path / "s")).orderBy("snapshot_date").select("occupation_doctor", "occupation_engineer")
+    assert [tuple(r) for r in got.collect()] == [(1, 0), (0, 1)]
+
+
+def test_a_run_refuses_files_whose_columns_are_in_another_order(spark, tmp_path):
+    raw = views.loans(spark, SF)
+    raw.write.option("header", True).csv(str(tmp_path / "raw"))
+    swapped = raw.limit(1).select("Customer_ID", "loan_id", *raw.columns[2:])
+    swapped.write.option("header", True).mode("append").csv(str(tmp_path / "raw"))
+    with pytest.raises(Exception, match="CSV header does not conform"):
+        stores.run_label_store(spark, str(tmp_path / "raw"), str(tmp_path / "m"), "1996-01-01", "1996-01-01")
+
+
 def test_one_snapshot_jobs(spark, mart, tmp_path):
     from monthmill.jobs import parser, run
 

@@ -54,8 +54,8 @@ def test_write_replaces_only_the_given_snapshots(spark, tmp_path, rebalance):
     s.write_snapshots(frame(spark, [(4, "2023-01-01")]), root, wanted, rebalance=rebalance)
     assert stored(spark, root) == [(4, "2023-01-01")]
     assert s.read_snapshots(spark, root, wanted).count() == 1
-    assert s.read_if_present(spark, root, ["2023-02-01"]).count() == 0
-    assert s.read_if_present(spark, root, ["2023-03-01"]) is None
+    assert s.read_snapshots(spark, root, ["2023-02-01"]).count() == 0
+    assert s.snapshots_in(spark, root) == wanted and s.snapshots_in(spark, str(tmp_path / "none")) == []
     with pytest.raises(s.MissingSnapshot):
         s.read_snapshots(spark, str(tmp_path / "none"))
 
@@ -65,6 +65,8 @@ def test_csv_table(spark, tmp_path):
     df = spark.createDataFrame([('"""Johne', date(2023, 1, 1)), ("a, b", date(2023, 2, 1))], "name string, snapshot_date date")
     s.write_snapshots(df, root, format="csv")
     assert sorted(r["name"] for r in s.read_csv(spark, root).collect()) == ['"""Johne', "a, b"]
+    one = s.read_snapshots(spark, root, ["2023-02-01"], format="csv", columns=["name", "snapshot_date"])
+    assert [tuple(r) for r in one.collect()] == [("a, b", date(2023, 2, 1))]
 
 
 def test_partition_filter_reaches_the_scan(spark, tmp_path):
@@ -82,8 +84,28 @@ def test_ingest_filters_and_types_the_date(spark):
     assert dict(everything.dtypes)["snapshot_date"] == "date" and everything.count() == 2
 
 
-def test_read_all_fills_columns_that_drift(spark, tmp_path):
-    spark.range(2).select("id", F.lit(1).alias("a")).write.parquet(str(tmp_path / "x"))
-    spark.range(1).select("id", F.lit(2).alias("b")).write.parquet(str(tmp_path / "y"))
-    got = s.read_all(spark, [str(tmp_path / "x"), str(tmp_path / "y")])
-    assert got.count() == 3 and got.where("a is null").count() == 1 and got.where("b is null").count() == 2
+def test_columns_that_drift_are_kept(spark, tmp_path):
+    root = str(tmp_path / "t")
+    s.write_snapshots(frame(spark, [(1, "2023-01-01")]).withColumn("a", F.lit(1)), root)
+    s.write_snapshots(frame(spark, [(2, "2023-02-01")]).withColumn("b", F.lit(2)), root)
+    got = s.read_snapshots(spark, root)
+    assert sorted((r["v"], r["a"], r["b"]) for r in got.collect()) == [(1, 1, None), (2, None, 2)]
+
+
+def test_staging_leaves_nothing_behind(spark, tmp_path):
+    from monthmill.session import stage, staging
+
+    with pytest.raises(ZeroDivisionError), staging(spark, str(tmp_path)) as root:
+        assert stage(spark.range(3), root, "x").count() == 3
+        assert list(tmp_path.iterdir())
+        1 / 0
+    assert not list(tmp_path.iterdir())
+
+
+def test_jobs_at_once_keep_the_job_group(spark):
+    from monthmill.session import at_once
+
+    spark.sparkContext.setJobGroup("mine", "jobs")
+    at_once(lambda: spark.range(5).count(), lambda: spark.range(6).collect())
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("mine")) >= 2
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
