@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from monthmill.llm import byte_bpe
 from monthmill.llm.common import staged
 
-PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long"
+PIECE = "doc_id string, piece int, start long, length long, ids_crc32 long"
 
 
 def pieces(docs: DataFrame, tokenizer: str, capacity: int = 1024, end_id: int | None = 2, with_ids: bool = False) -> DataFrame:
@@ -46,10 +46,15 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = 1024, end_id: int |
                     rows.append((doc_id, piece, a, b - a, zlib.crc32(part), *([np.frombuffer(part, "<u4").tolist()] if with_ids else [])))
                     a, b = b, b + capacity
             out = pd.DataFrame(rows, columns=["doc_id", "piece", "start", "length", "ids_crc32", *(["ids"] if with_ids else [])])
-            out["doc_id"] = out["doc_id"].astype("Int64")
             yield out
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInPandas(cut, PIECE + (", ids array<long>" if with_ids else ""))
+    # Ids travel as text, since pandas would make floats of a column of longs with a NULL.
+    rows = docs.select(F.col("doc_id").cast("string"), F.col("text").cast("string"))
+    return _ids_as_longs(rows.mapInPandas(cut, PIECE + (", ids array<long>" if with_ids else "")))
+
+
+def _ids_as_longs(df: DataFrame) -> DataFrame:
+    return df.withColumn("doc_id", F.col("doc_id").cast("long"))
 
 
 @lru_cache(maxsize=8)
@@ -124,7 +129,7 @@ def pack(items: DataFrame, capacity: int = 1024, part_pieces: int = 2048, rounds
     """
     names = ["doc_id", "piece", "start", "length", "ids_crc32"]
     schema = f"{PIECE}, part long, certified boolean, open boolean, sequence_id long, offset long"
-    open_, done = staged(items.select(*names), "pieces"), []
+    open_, done = staged(items.select(F.col("doc_id").cast("string"), *names[1:]), "pieces"), []
     for number in range(rounds):
         parts = -(-open_.count() // part_pieces)
         last = number == rounds - 1 or parts <= 1
@@ -137,4 +142,4 @@ def pack(items: DataFrame, capacity: int = 1024, part_pieces: int = 2048, rounds
     out = done[0]
     for more in done[1:]:
         out = out.unionByName(more)
-    return out.select(*names, "sequence_id", "offset", "certified")
+    return _ids_as_longs(out).select(*names, "sequence_id", "offset", "certified")

@@ -291,7 +291,7 @@ def decoded(rows: DataFrame, model: str) -> DataFrame:
     @F.pandas_udf("string")
     def texts(ids: pd.Series) -> pd.Series:
         decode = load(model).decode
-        return pd.Series([decode([] if x is None else x.tolist()) for x in ids], dtype=object)
+        return pd.Series([decode([] if x is None else [int(n) for n in x]) for x in ids], dtype=object)
 
     return rows.select("doc_id", texts("ids").alias("text"))
 

@@ -51,12 +51,14 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int,
                 out.write(ids.astype(kind).tobytes() + end)
             numbers = np.arange(ordinal, ordinal + len(batch))
             ordinal += len(batch)
-            yield pd.DataFrame({"file": name, "ordinal": numbers, "doc_id": batch["doc_id"].astype("Int64")})
+            yield pd.DataFrame({"file": name, "ordinal": numbers, "doc_id": batch["doc_id"]})
         if out is not None:
             out.close()
 
-    rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    return staged(rows.mapInPandas(write, "file string, ordinal long, doc_id long"), "manifest")
+    # Ids travel as text, since pandas would make floats of a column of longs with a NULL.
+    rows = docs.select(F.col("doc_id").cast("string"), F.col("text").cast("string"))
+    manifest = rows.mapInPandas(write, "file string, ordinal long, doc_id string")
+    return staged(manifest.withColumn("doc_id", F.col("doc_id").cast("long")), "manifest")
 
 
 def blocks_of(spark: SparkSession, folder: str, files: DataFrame, width: int, block_tokens: int) -> DataFrame:

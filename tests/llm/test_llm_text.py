@@ -1,0 +1,280 @@
+"""Classifier, tokens, packing, licenses and token files: brute force, round trips, held-out rows, edges."""
+
+import random
+import zlib
+from collections import defaultdict
+
+import numpy as np
+import public_tokenizers
+import pytest
+import sentencepiece
+from conftest_llm import frame, prose
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from tokenizers import Tokenizer
+
+from monthmill.llm import byte_bpe, licenses, packing, piece_bpe, quality, token_files
+
+BYTES, PIECES = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+ODD = st.text(st.sampled_from("ab eT.,'9\n\t\r é中▁😀\xa0\u200b<s>"), max_size=40)
+
+
+@pytest.fixture(scope="module")
+def library():
+    t = Tokenizer.from_file(BYTES)
+    t.encode_special_tokens = True
+    return t, sentencepiece.SentencePieceProcessor(model_file=PIECES)
+
+
+def test_byte_ids_equal_the_library(library):
+    @settings(max_examples=400, deadline=None)
+    @given(ODD)
+    def check(text):
+        ours = np.frombuffer(byte_bpe.load(BYTES).encode(text), "<u4").tolist()
+        assert ours == library[0].encode(text, add_special_tokens=False).ids
+
+    check()
+
+
+def test_pieces_equal_the_library(library):
+    codec, model = piece_bpe.load(PIECES), library[1]
+
+    @settings(max_examples=400, deadline=None)
+    @given(st.one_of(ODD, st.text(max_size=30)))
+    def check(text):
+        ids = codec.encode(text)
+        assert ids == model.encode(text) and codec.decode(ids) == model.decode(ids)
+
+    @settings(max_examples=400, deadline=None)
+    @given(st.lists(st.one_of(st.integers(0, 300), st.integers(0, 31_999)), max_size=9))
+    def check_ids(ids):
+        assert codec.decode(ids) == model.decode(ids)
+
+    check()
+    check_ids()
+    long = "ab" * 3000 + " " * 500 + "é" * 500
+    assert codec.encode(long) == model.encode(long)
+
+
+def test_backtracking_finds_what_merging_finds():
+    model = piece_bpe.load(PIECES).model
+    rng = random.Random(1)
+    for _ in range(300):
+        text = piece_bpe.SPACE + "".join(rng.choice("aeinrstth") for _ in range(rng.randint(1, 25)))
+        assert [model.wording[p] for p in model.backtrack(text)] == model.merged(text)
+
+
+def test_round_trips_of_odd_rows(spark, edges, empty, library):
+    import hashlib
+
+    got = piece_bpe.round_trips(edges, PIECES).collect()
+    want = defaultdict(list)
+    for r in edges.collect():
+        ids = library[1].encode(r["text"] or "")
+        digest = lambda x: hashlib.sha256(x.encode()).hexdigest()
+        want[r["doc_id"]].append((len(ids), digest(",".join(map(str, ids))), digest(library[1].decode(ids))))
+    have = defaultdict(list)
+    for r in got:
+        have[r["doc_id"]].append((r["n_tokens"], r["ids_sha256"], r["decoded_sha256"]))
+    assert {k: sorted(v) for k, v in have.items()} == {k: sorted(v) for k, v in want.items()}
+    again = piece_bpe.decoded(piece_bpe.encoded(edges, PIECES), PIECES).where("doc_id = 9").first()
+    assert again["text"] == "a\n\n\na"
+    assert piece_bpe.round_trips(empty, PIECES).count() == 0
+
+
+# Packing
+
+
+def check_packing(rows, capacity):
+    by = defaultdict(list)
+    for r in rows:
+        by[r["sequence_id"]].append((r["offset"], r["length"]))
+    for parts in by.values():
+        at = 0
+        for offset, length in sorted(parts):
+            assert offset == at and length > 0
+            at += length
+        assert at <= capacity
+    return len(by)
+
+
+def test_pieces_and_packing_of_odd_rows(spark, edges, empty):
+    items = packing.pieces(edges, BYTES, with_ids=True)
+    rows = items.collect()
+    encode, texts = byte_bpe.load(BYTES).encode, defaultdict(list)
+    for r in edges.collect():
+        texts[r["doc_id"]].append(np.frombuffer(encode(r["text"] or ""), "<u4").tolist() + [2])
+    for r in rows:
+        whole = next(t for t in texts[r["doc_id"]] if t[r["start"] : r["start"] + r["length"]] == r["ids"])
+        assert r["ids_crc32"] == zlib.crc32(np.array(r["ids"], "<u4").tobytes())
+        assert r["length"] == 1024 or r["piece"] == 0 or len(whole) <= 1024
+    assert sum(r["length"] for r in rows) == sum(len(t) for ts in texts.values() for t in ts)
+    packed = packing.pack(items, part_pieces=8)
+    got = packed.collect()
+    assert packed.columns[:7] == ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"]
+    key = lambda r: (str(r["doc_id"]), r["piece"], r["start"], r["length"], r["ids_crc32"])
+    assert sorted(map(key, got)) == sorted(map(key, rows))
+    assert check_packing(got, 1024) <= -(-sum(r["length"] for r in rows) // 1024) + 1
+    assert packing.pack(packing.pieces(empty, BYTES)).count() == 0
+
+
+def test_exchange_brings_many_parts_near_the_bound(spark):
+    rng = random.Random(4)
+    rows = [(i, 0, 0, rng.randint(1, 400), 0) for i in range(3000)]
+    items = spark.createDataFrame(rows, "doc_id long, piece int, start long, length long, ids_crc32 long")
+    got = packing.pack(items, part_pieces=100).collect()
+    assert len(got) == 3000
+    assert check_packing(got, 1024) <= -(-sum(r[3] for r in rows) // 1024) + 2
+
+
+def test_lower_bounds_and_best_fit():
+    assert packing.sequences_at_least(np.array([600] * 5), 1024) == 5
+    assert packing.sequences_at_least(np.array([342] * 6), 1024) == 3  # no three fit
+    assert packing.sequences_at_least(np.array([], int), 1024) == 0
+    rng = np.random.default_rng(0)
+    for _ in range(50):
+        lengths = np.sort(rng.integers(1, 21, 8))[::-1]
+        best = min_sequences(lengths.tolist(), 20)
+        sequence, offset, room = packing.best_fit_decreasing(lengths, 20)
+        assert packing.sequences_at_least(lengths, 20) <= best <= len(room)
+        assert (np.bincount(sequence, lengths) + room == 20).all()
+
+
+def min_sequences(lengths, capacity):
+    best = len(lengths)
+
+    def place(i, rooms):
+        nonlocal best
+        if len(rooms) >= best:
+            return
+        if i == len(lengths):
+            best = len(rooms)
+            return
+        for j, room in enumerate(rooms):
+            if room >= lengths[i]:
+                place(i + 1, [*rooms[:j], room - lengths[i], *rooms[j + 1 :]])
+        place(i + 1, [*rooms, capacity - lengths[i]])
+
+    place(0, [])
+    return best
+
+
+# Token files
+
+
+@pytest.mark.parametrize("block", [1, 7, 4096])
+def test_token_counts_across_blocks(spark, edges, block):
+    some = edges.where("length(text) < 1000 or text is null") if block < 4096 else edges
+    got = sorted((str(r["doc_id"]), r["n_tokens"]) for r in token_files.token_counts(some, BYTES, 50256, block_tokens=block).collect())
+    want = sorted((str(r["doc_id"]), len(byte_bpe.load(BYTES).encode(r["text"] or "")) // 4) for r in some.collect())
+    assert got == want
+
+
+def test_a_file_that_ends_without_separator(spark, tmp_path, empty):
+    np.array([9, 5, 5, 9, 9, 7, 7], "<u2").tofile(tmp_path / "a.tokens")
+    (tmp_path / "b.tokens").write_bytes(b"")
+    files = spark.createDataFrame([("a.tokens",), ("b.tokens",)], "file string")
+    got = token_files.scan(spark, f"file://{tmp_path}", files, 9, block_tokens=2).collect()
+    assert sorted((r["ordinal"], r["start"], r["n_tokens"]) for r in got) == [(0, 0, 0), (1, 1, 2), (2, 4, 0), (3, 5, 2)]
+    assert token_files.token_counts(empty, BYTES, 50256).count() == 0
+
+
+# Licenses
+
+
+def spans(text, templates):
+    return licenses.Scanner({}, templates).spans(text)[1]
+
+
+def test_templates_need_their_mandatory_wording():
+    t = {"x": "copies <<optional>>of this <<optional>>fine<</optional>> work<</optional>> belong to <<any:1-2>> and <<one:her heirs|friends>>."}
+    for text in ("Copies belong to Ann and friends", "COPIES of this work, belong to Ann B. and her heirs!", "copies of this fine work belong to x and friends"):
+        assert [s[:3] for s in spans(text, t)] == [(0, len(licenses.words_of(text)), "x")]
+    for text in ("copies of work belong to Ann and friends", "copies belong to and friends", "copies belong to a b c and friends", "copies belong to Ann"):
+        assert spans(text, t) == []
+    with pytest.raises(ValueError):
+        licenses.Automaton("<<any:0-2>> begin")
+    with pytest.raises(ValueError):
+        licenses.Automaton("begin <<optional>> open")
+
+
+def test_report_equals_brute_force(spark, edges, empty):
+    rows = [(i, t) for i, t in enumerate([
+        "cc by cc BY cc-by", "Licensed under CC BY-NC 4.0. All rights reserved. ALL RIGHTS RESERVED", "GNU General Public License", "ccby cc  by's", None, "",
+        "under the Apache License, Version 2.0; licensed under the Apache License, Version 2.0", "général public license all rights reserved é",
+    ])]
+    got = {r["doc_id"]: r for r in licenses.report(licenses.scan(frame(spark, rows))).collect()}
+    for i, text in rows:
+        words, places, found = licenses.words_of(text), [], set()
+        for phrase, label in licenses.PHRASES.items():
+            p = [x.encode() for x in phrase.split()]
+            at = [n for n in range(len(words)) if words[n : n + len(p)] == p]
+            places += at
+            found |= {label} if at else set()
+        r = got[i]
+        assert (r["n_words"], r["n_base"], r["base_labels"]) == (len(words), len(places), ",".join(sorted(found)))
+        assert (r["first_word"], r["last_word"]) == ((min(places), max(places)) if places else (None, None))
+        assert found <= set(r["labels"].split(",")) | {""} and 0 <= r["score"] <= 1
+    assert got[1]["labels"] == "cc-by,cc-by-nc,reserved" and got[6]["labels"] == "apache-2.0" and got[2]["labels"] == "gpl"
+    assert got[1]["score"] == pytest.approx(1.0) and got[4]["score"] == 0 and got[4]["n_words"] == 0
+    assert licenses.report(licenses.scan(edges)).count() == edges.count()
+    assert licenses.report(licenses.scan(empty)).count() == 0
+
+
+# Classifier
+
+
+def labelled(spark, n):
+    rng = random.Random(3)
+    rows, labels = [], []
+    for i in range(n):
+        bad = i % 4 == 0
+        words = prose(rng.randint(20, 80), i).split()
+        text = " ".join(f"{w}{rng.choice(['!!', '$$$'])}" if bad else w for w in words)
+        rows.append((i, text))
+        labels.append((i, 0 if bad else 1, 0))
+    return frame(spark, rows), spark.createDataFrame(labels, "doc_id long, quality int, toxic int"), {i: q for i, q, _ in labels}
+
+
+def test_classifier_ranks_held_out_rows(spark):
+    docs, labels, truth = labelled(spark, 400)
+    got = quality.judged(docs, labels).collect()
+    assert len(got) == 400
+    for r in got:
+        assert r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 5 == 0) and 0 <= r["score"] <= 1
+        assert r["predicted"] == (r["score"] >= 0.3)
+    held = [(r["predicted"], truth[r["doc_id"]]) for r in got if r["held_out"]]
+    assert len(held) > 40 and sum(p == t for p, t in held) / len(held) > 0.95
+    # Labels of held-out rows change nothing.
+    from pyspark.sql import functions as F
+
+    wrong = labels.withColumn("quality", F.when(quality.held_out(F.col("doc_id")), 1 - F.col("quality")).otherwise(F.col("quality")))
+    again = {r["doc_id"]: r["score"] for r in quality.judged(docs, wrong).collect()}
+    assert all(again[r["doc_id"]] == r["score"] for r in got)
+    kept = quality.accepted(docs, labels)
+    assert kept.columns == docs.columns and kept.count() == sum(r["predicted"] for r in got)
+
+
+def test_context_vectors_equal_brute_force(spark):
+    space = quality.Space(buckets=50, dims=8, window=2)
+    texts = ["a b a c", "b b c", "", None, "D e"]
+    got = quality.context_vectors(frame(spark, list(enumerate(texts))), space)
+    place, sign = space.index_vectors()
+    want, known = np.zeros((50, 8), int), quality._Buckets(space)
+    for ids in quality._bucket_lists(iter(texts), known):
+        for i, a in enumerate(ids):
+            for j in (i - 2, i - 1, i + 1, i + 2):
+                if 0 <= j < len(ids):
+                    for k in range(space.nonzero):
+                        want[a, place[k][ids[j]]] += sign[k][ids[j]]
+    assert (got == want).all()
+
+
+def test_classifier_with_odd_rows_and_labels(spark, edges, empty):
+    none = spark.createDataFrame([(None, 1), (1, None), (4, 7)], "doc_id long, quality int")
+    scores = {r["score"] for r in quality.judged(edges, none).collect()}
+    assert scores == {0.5} and quality.judged(empty, none).count() == 0
+    one = spark.createDataFrame([(i, 1) for i in range(30)], "doc_id long, quality int")
+    assert quality.judged(edges, one).where("predicted = 1").count() == edges.count()
+    nameless = quality.judged(edges, one).where("doc_id is null").first()
+    assert nameless["held_out"] is True
