@@ -122,7 +122,7 @@ def _pack_part(capacity: int, number: int, last: bool):
     return pack
 
 
-def pack(items: DataFrame, capacity: int = 1024, part_pieces: int = 2048, rounds: int = 4) -> DataFrame:
+def pack(items: DataFrame, capacity: int = 1024, part_pieces: int = 4096, rounds: int = 4) -> DataFrame:
     """`items` (the columns of `pieces`) with sequence_id, offset, and certified: whether its part met its lower bound.
 
     Every piece comes back once. Equal rows are packed one by one. An empty table gives an empty table.

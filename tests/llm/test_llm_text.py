@@ -122,7 +122,7 @@ def test_exchange_brings_many_parts_near_the_bound(spark):
     rng = random.Random(4)
     rows = [(i, 0, 0, rng.randint(1, 400), 0) for i in range(3000)]
     items = spark.createDataFrame(rows, "doc_id long, piece int, start long, length long, ids_crc32 long")
-    got = packing.pack(items, part_pieces=100).collect()
+    got = packing.pack(items, part_pieces=600).collect()
     assert len(got) == 3000
     assert check_packing(got, 1024) <= -(-sum(r[3] for r in rows) // 1024) + 2
 
