@@ -11,7 +11,7 @@ from functools import lru_cache
 import tiktoken
 
 #: Words a worker remembers before it starts afresh; bounds its memory, not its results.
-REMEMBERED = 1_000_000
+REMEMBERED = 300_000
 
 # Fixed value: how this family of vocabularies cuts a text into words.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"

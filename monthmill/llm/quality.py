@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 _WORDS = re.compile(r"\w+|[^\w\s]+").findall
 #: Words a worker remembers before it starts afresh; bounds its memory, not its results.
-REMEMBERED = 500_000
+REMEMBERED = 200_000
 #: Buckets of their own: a word in capitals, and a word that repeats the one before it.
 CAPITALS, AGAIN = 0, 1
 
