@@ -83,7 +83,7 @@ def _silver_tables(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
         return silver_clickstream(views.clickstream(spark, sf_dir), silver_loans(views.loans(spark, sf_dir)))
 
     def financials():
-        return silver_financials(views.financials(spark, sf_dir), keep=lambda df: stage(df, root, "cleaned"))
+        return silver_financials(views.financials(spark, sf_dir), keep=lambda df, name: stage(df, root, name))
 
     return at_once(
         lambda: stage(silver_attributes(views.attributes(spark, sf_dir), SEGMENTS), root, "attributes"),
@@ -93,7 +93,8 @@ def _silver_tables(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
 
 
 def _aggregated(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return silver_aggregated(stage(join_features(*_silver_tables(spark, sf_dir)), _scratch(spark), "joined"))
+    root = _scratch(spark)
+    return silver_aggregated(join_features(*_silver_tables(spark, sf_dir)), keep=lambda df, name: stage(df, root, name))
 
 
 # Sources, time axis and snapshot tables

@@ -29,6 +29,7 @@ PASSES = {"float": 2, "tinyint": 2, "smallint": 2, "int": 3}
 EXACT_IN_DOUBLE = {"float", "double", "tinyint", "smallint", "int"}
 
 LOWER, UPPER, DISCRETE = 0, 1, 2
+ONE_GROUP = "_all"
 
 
 def quantiles(
@@ -49,8 +50,8 @@ def quantiles(
     families: dict[str, dict[str, dict[str, float]]] = {}
     for c, named in wanted.items():
         families.setdefault("double" if types[c] in EXACT_IN_DOUBLE else types[c], {})[c] = named
-    keys = by or ["_all"]
-    rows = df if by else df.withColumn("_all", F.lit(0))
+    keys = by or [ONE_GROUP]
+    rows = df if by else df.withColumn(ONE_GROUP, F.lit(0))
     found = [_of_one_type(rows, family, named, keys, linear, types) for family, named in families.items()]
     out = found[0]
     for i, more in enumerate(found[1:]):
@@ -152,6 +153,8 @@ def _narrow(values: DataFrame, picked: DataFrame, by: list[str]) -> DataFrame:
     # As many ranges per group as there are wanted quantiles.
     pick = F.struct("column", "name", "end", "share", "rank", F.col("low").alias("from"), F.col("high").alias("to"))
     ranges = picked.groupBy(*[F.col(b).alias(f"_{b}") for b in by]).agg(F.collect_list(pick).alias("_picks"))
+    if by == [ONE_GROUP]:  # a single row
+        ranges = F.broadcast(ranges)
     joined = values.join(ranges, [F.col(b).eqNullSafe(F.col(f"_{b}")) for b in by])
     value = F.get("_values", F.col("p.column"))
     inside = (

@@ -100,15 +100,16 @@ def encode_financials(df: DataFrame) -> DataFrame:
 
 
 def silver_financials(
-    bronze: DataFrame, strip_and: bool = False, keep: Callable[[DataFrame], DataFrame] = lambda cleaned: cleaned
+    bronze: DataFrame, strip_and: bool = False, keep: Callable[[DataFrame, str], DataFrame] = lambda df, name: df
 ) -> DataFrame:
     """The typed financial table of all given snapshots.
 
     Medians and caps are those of each snapshot, taken from the values before
-    clipping. Rows equal but for their loan list become one row. ``keep`` may write the
-    cleaned rows and read them back, so that the text is parsed once and the statistics scan narrow columns.
+    clipping. Rows equal but for their loan list become one row. ``keep`` may write a table and
+    read it back: the cleaned rows, so that the text is parsed once and the statistics scan narrow columns, and the
+    statistics, so that the optimizer knows their size and broadcasts them if they are small.
     """
-    cleaned = keep(clean_financials(bronze, strip_and))
-    clipped = impute_and_clip(cleaned, financial_statistics(cleaned))
+    cleaned = keep(clean_financials(bronze, strip_and), "cleaned")
+    clipped = impute_and_clip(cleaned, keep(financial_statistics(cleaned), "statistics"))
     types = {**FINANCIAL_TYPES, **{snake_case(k): "int" for k in LOAN_KINDS}}
     return enforce(encode_financials(count_loan_types(clipped)), types, strict=True)
