@@ -3,8 +3,8 @@
 Only DataFrame functions. A URL is expanded no deeper than the deepest rule, which loses nothing and bounds the rows that
 a URL of many labels or segments can make. Matches are confirmed by the whole digest, so a clash of short prefixes costs
 a comparison and never a wrong verdict. The optimizer picks the join from the rules' real size; beyond a broadcast it is
-a shuffle whose hot expressions (`com/`) adaptive execution splits. A page's matches meet again by a row number that is
-partly aggregated before its shuffle, so a hot host or URL gathers nowhere.
+a shuffle whose hot expressions (`com/`) adaptive execution splits. A page's expressions meet again by a row number of its
+own, so a hot host or URL gathers nowhere.
 """
 
 from __future__ import annotations
