@@ -56,10 +56,15 @@ class Index:
         """
         if len(self.seeds) <= k:
             return np.zeros((len(ids), 0), int), np.full(len(ids), np.inf)
-        distance = np.maximum(0, 2 - 2 * self.turned_queries(queries) @ self.turned(self.seeds).T)
-        distance[ids[:, None] == self.seed_ids] = np.inf
-        near = np.argpartition(distance, k - 1, axis=1)[:, :k]
-        return near, np.take_along_axis(distance, near, axis=1).max(1)
+        turned, seeds = self.turned_queries(queries), self.turned(self.seeds)
+        near, bound = np.empty((len(ids), k), int), np.empty(len(ids))
+        for a in range(0, len(ids), 256):
+            some = slice(a, a + 256)
+            distance = np.maximum(0, 2 - 2 * turned[some] @ seeds.T)
+            distance[ids[some, None] == self.seed_ids] = np.inf
+            near[some] = np.argpartition(distance, k - 1, axis=1)[:, :k]
+            bound[some] = np.take_along_axis(distance, near[some], axis=1).max(1)
+        return near, bound
 
 
 def usable(vectors: DataFrame) -> DataFrame:
@@ -110,47 +115,56 @@ def fit(rows: DataFrame, k: int, recall: float, list_rows: int, max_lists: int,
 
 
 def scan(index: Index, ids: np.ndarray, queries: np.ndarray, bounds: np.ndarray, cand_ids: np.ndarray, cands: np.ndarray, k: int, width: int, doubt: float) -> tuple[np.ndarray, ...]:
-    """Query number, candidate number and inner product of each query's k best among the candidates it didn't give up."""
+    """Query number, candidate number and inner product of each query's k best among the candidates it didn't give up.
+
+    Partial distances grow by one block of `width` dimensions at a time. While many pairs are alive a block is one matrix
+    product over the queries and candidates that have any; once few are, it is summed pair by pair.
+    """
     q, c = index.turned_queries(queries), index.turned(cands)
     dims = q.shape[1]
-    who, whom, score = [], [], []
-    for begin in range(0, len(c), 1024):
-        part = slice(begin, begin + 1024)
-        a = np.repeat(np.arange(len(q)), len(c[part]))
-        b = np.tile(np.arange(begin, begin + len(c[part])), len(q))
-        keep = ids[a] != cand_ids[b]
-        so_far = np.zeros(len(a))
+    who, whom, score = np.zeros(0, int), np.zeros(0, int), np.zeros(0)
+
+    def limit(seen: int) -> float:
+        return (1 if seen == dims else (1 + doubt / np.sqrt(seen)) ** 2 * seen / dims) * (1 + 1e-9)
+
+    for begin in range(0, len(c), 2048):
+        rows, cols = np.arange(len(q)), np.arange(begin, min(begin + 2048, len(c)))
+        so_far, pairs = np.where(ids[:, None] == cand_ids[cols], np.inf, 0.0), None
         for d in range(0, dims, width):
-            block = slice(d, d + width)
-            qb, cb = q[:, block], c[:, block]
-            if d == 0:
-                so_far = ((qb**2).sum(1)[:, None] + (cb[part] ** 2).sum(1) - 2 * qb @ cb[part].T).ravel()
-                a, b, so_far = a[keep], b[keep], so_far[keep]
+            block, seen = slice(d, d + width), min(d + width, dims)
+            if pairs is None:
+                qb, cb = q[rows, block], c[cols, block]
+                so_far += (qb * qb).sum(1)[:, None] + (cb * cb).sum(1) - 2 * qb @ cb.T
+                alive = so_far <= (bounds[rows] * limit(seen) + 1e-9)[:, None]
+                if alive.mean() < 0.05:
+                    a, b = np.nonzero(alive)
+                    pairs, so_far = (rows[a], cols[b]), so_far[a, b]
+                else:
+                    so_far[~alive] = np.inf  # given up for good
+                    r, x = alive.any(1), alive.any(0)
+                    if not (r.all() and x.all()):
+                        rows, cols, so_far = rows[r], cols[x], so_far[r][:, x]
             else:
-                so_far += ((qb[a] - cb[b]) ** 2).sum(1)
-            seen = min(d + width, dims)
-            factor = 1.0 if seen == dims else (1 + doubt / np.sqrt(seen)) ** 2 * seen / dims
-            alive = so_far <= bounds[a] * factor * (1 + 1e-9) + 1e-12
-            a, b, so_far = a[alive], b[alive], so_far[alive]
+                a, b = pairs
+                so_far = so_far + ((q[a, block] - c[b, block]) ** 2).sum(1)
+                alive = so_far <= bounds[a] * limit(seen) + 1e-9
+                pairs, so_far = (a[alive], b[alive]), so_far[alive]
+        if pairs is None:
+            a, b = np.nonzero(np.isfinite(so_far))
+            pairs = rows[a], cols[b]
+        a, b = pairs
         # The measure itself, in double precision on the given vectors.
-        exact = (queries[a] * cands[b]).sum(1)
-        who.append(a)
-        whom.append(b)
-        score.append(exact)
-        a, b, s = np.concatenate(who), np.concatenate(whom), np.concatenate(score)
+        a, b, s = np.concatenate([who, a]), np.concatenate([whom, b]), np.concatenate([score, (queries[a] * cands[b]).sum(1)])
         order = np.lexsort((cand_ids[b], -s, a))
         a, b, s = a[order], b[order], s[order]
-        first = np.searchsorted(a, a)
-        best = np.arange(len(a)) - first < k
-        a, b, s = a[best], b[best], s[best]
-        who, whom, score = [a], [b], [s]
+        place = np.arange(len(a)) - np.searchsorted(a, a)
         # The k-th best so far bounds what is still worth a look.
-        full = np.arange(len(a)) - np.searchsorted(a, a) == k - 1
-        if full.any():
-            last = a[full]
-            far = ((q[last] - c[b[full]]) ** 2).sum(1)
-            bounds[last] = np.minimum(bounds[last], far)
-    return who[0], whom[0], score[0]
+        last = place == k - 1
+        far = ((q[a[last]] - c[b[last]]) ** 2).sum(1)
+        bounds[a[last]] = np.minimum(bounds[a[last]], far)
+        best = place < k
+        who, whom, score = a[best], b[best], s[best]
+    return who, whom, score
 
 
 def search(
@@ -158,10 +172,10 @@ def search(
     every: int = 20,
     k: int = 20,
     recall: float = 0.97,
-    list_rows: int = 1024,
+    list_rows: int = 2048,
     max_lists: int = 1024,
     sample: int = 20_000,
-    seeds: int = 512,
+    seeds: int = 4096,
     block_rows: int = 4096,
     part_rows: int = 1024,
     width: int = 16,
