@@ -128,9 +128,9 @@ def multi_snapshot_scan(spark, sf_dir):
 
 @query
 def csv_scan(spark, sf_dir):
-    root = _scratch(spark)
-    views.attributes(spark, sf_dir).write.option("header", True).option("escape", '"').csv(root)
-    return read_csv(spark, root, RAW_COLUMNS["attributes"])
+    raw = f"{_scratch(spark)}/raw"
+    views.attributes(spark, sf_dir).write.option("header", True).option("escape", '"').csv(raw)
+    return read_csv(spark, raw, RAW_COLUMNS["attributes"])
 
 
 @query
