@@ -39,13 +39,20 @@ class ByteBPE:
     """Token ids of a text as little-endian unsigned 32-bit integers.
 
     A space before a non-space always begins a word, so texts without runs of white space are cut at spaces, which
-    costs one dictionary look-up a word. All other texts go through the tokenizer whole. Strings that look like special
-    tokens are ordinary text.
+    costs one dictionary look-up a word. All other texts go through the tokenizer whole. With `added`, the file's added
+    tokens are found in a text first, as the library does, and what stands between them is encoded by itself; without,
+    strings that look like them are ordinary text.
     """
 
-    def __init__(self, path: str) -> None:
+    def __init__(self, path: str, added: bool = False) -> None:
         with open(path, encoding="utf-8") as file:
-            model = json.load(file)["model"]
+            content = json.load(file)
+        model, tokens = content["model"], content["added_tokens"] if added else []
+        if any(t["single_word"] or t["lstrip"] or t["rstrip"] for t in tokens):
+            raise ValueError("an added token with conditions on what stands beside it")
+        self.added = {t["content"]: _packed([t["id"]]) for t in tokens}
+        # At one place the longest is found.
+        self.cut = re.compile("(" + "|".join(map(re.escape, sorted(self.added, key=len, reverse=True))) + ")").split
         alphabet = _byte_alphabet()
         special = {t for t in model["vocab"] if t.startswith("<|") and t.endswith("|>")}
         ranks = {_bytes_of(token, alphabet): rank for token, rank in model["vocab"].items() if token not in special}
@@ -54,6 +61,12 @@ class ByteBPE:
         self.runs = re.compile(r"\s\s|^\s").search
 
     def encode(self, text: str) -> bytes:
+        if any(token in text for token in self.added):
+            return b"".join(self.added[part] if n % 2 else self._between(part) for n, part in enumerate(self.cut(text)))
+        return self._between(text)
+
+    def _between(self, text: str) -> bytes:
+        """Ids of a text, or of a part of it, in which no added token counts."""
         if not text:
             return b""
         if self.runs(text):
@@ -77,6 +90,6 @@ class _Words(dict):
 
 
 @lru_cache(maxsize=2)
-def load(path: str) -> ByteBPE:
-    """One per worker and file."""
-    return ByteBPE(path)
+def load(path: str, added: bool = False) -> ByteBPE:
+    """One per worker, file and treatment of added tokens."""
+    return ByteBPE(path, added)

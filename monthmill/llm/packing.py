@@ -29,12 +29,12 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = 1024, end_id: int |
     """The token pieces of each text: doc_id, piece, start, length, ids_crc32 and, if asked for, the ids.
 
     Only a document of more than `capacity` tokens is cut; its first piece is the short one. NULL texts are empty, and an
-    empty text has the end id alone. Repeated rows give repeated pieces; columns beside doc_id and text are ignored.
+    empty text has the end id alone. The tokenizer's added tokens are found in the texts. Repeated rows give repeated pieces; columns beside doc_id and text are ignored.
     """
     end = b"" if end_id is None else int(end_id).to_bytes(4, "little")
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encode = byte_bpe.load(tokenizer).encode
+        encode = byte_bpe.load(tokenizer, added=True).encode
         for batch in batches:
             rows = []
             for doc_id, text in zip(batch["doc_id"], batch["text"], strict=True):

@@ -28,7 +28,8 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int,
     """Write the ids of every text to `folder`, one file per task, and give the manifest: file, ordinal, doc_id.
 
     `width` is the bytes of an id. The manifest has the order of the documents in each file, and no place in it. A NULL
-    text is empty: its separator follows the one before. Repeated rows are written as often as they come.
+    text is empty: its separator follows the one before. Repeated rows are written as often as they come. The tokenizer's
+    added tokens are ordinary text here: the id of one that is also the separator would cut its document in two.
     """
     kind = {2: "<u2", 4: "<u4"}[width]
     if end_id >= 1 << 8 * width:

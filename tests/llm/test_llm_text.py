@@ -36,6 +36,27 @@ def test_byte_ids_equal_the_library(library):
     check()
 
 
+def test_added_tokens_in_a_text_equal_the_library(spark):
+    contract = Tokenizer.from_file(BYTES)  # as it comes: no encode_special_tokens
+    encode = byte_bpe.load(BYTES, added=True).encode
+    end = "<|endoftext|>"
+    texts = [f"a{end}b", end, f"{end}{end}", f"x {end} y", f"x  {end}\n z {end[:-1]} <|{end}|>", f"one two{end}", "no token here"]
+    for text in texts:
+        assert np.frombuffer(encode(text), "<u4").tolist() == contract.encode(text, add_special_tokens=False).ids
+    rows = packing.pieces(frame(spark, list(enumerate(texts))), BYTES, with_ids=True).collect()
+    assert {r["doc_id"]: r["ids"][:-1] for r in rows} == {i: contract.encode(t, add_special_tokens=False).ids for i, t in enumerate(texts)}
+
+    @settings(max_examples=300, deadline=None)
+    @given(st.lists(st.one_of(ODD, st.just(end)), max_size=6).map("".join))
+    def check(text):
+        assert np.frombuffer(encode(text), "<u4").tolist() == contract.encode(text, add_special_tokens=False).ids
+
+    check()
+    # In flat files the literal must not become a separator.
+    counts = token_files.token_counts(frame(spark, [(1, f"a{end}b"), (2, "c")]), BYTES, 50256).collect()
+    assert sorted(r["doc_id"] for r in counts) == [1, 2]
+
+
 def test_pieces_equal_the_library(library):
     codec, model = piece_bpe.load(PIECES), library[1]
 
