@@ -16,8 +16,8 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the lines of templates that an earlier document has; one that loses all its wording goes."""
-    out = line_templates.dedup(docs)
+    """Documents without the lines, short ones too, of templates that an earlier document has; one that loses all its wording goes."""
+    out = line_templates.dedup(docs, min_words=1)
     left = (F.col("n_dropped") == 0) | F.regexp_like("text", F.lit(r"[^\x20\x09-\x0D]"))
     n_chars = F.when(F.col("n_dropped") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars")).alias("n_chars")
     return out.where(left).select(*(n_chars if c == "n_chars" else c for c in docs.columns))

@@ -4,6 +4,7 @@ import hashlib
 import random
 from collections import Counter
 
+import corpus_pipeline
 import numpy as np
 import pytest
 import xxhash
@@ -121,6 +122,18 @@ def test_line_dedup_keeps_odd_rows(spark, edges, empty):
     assert line_templates.dedup(empty).count() == 0
 
 
+def test_the_pipeline_drops_short_lines(spark):
+    rows = [
+        (1, f"{prose(9, 1)}\nAll rights reserved.\nPage 3\n\n版权所有\n42"),
+        (2, f"{prose(9, 2)}\n\nAll  rights reserved.\npage 4\n42\n17"),
+        (3, f"版权所有\n{prose(9, 3)}\nPage 5 \n\n版权2024\n3 4\nMenu"),
+        (4, f"版权2023\n{prose(9, 4)}\n3 5\nMenu\nMenu"),
+    ]
+    got = {r["doc_id"]: r["text"] for r in corpus_pipeline.line_dedup(spark, frame(spark, rows), "").collect()}
+    # Equal lines and templates with a word go; lines that are all numbers go only as equal ones; blank lines stay.
+    assert got == {1: rows[0][1], 2: f"{prose(9, 2)}\n\npage 4\n17", 3: f"{prose(9, 3)}\n\n版权2024\n3 4\nMenu", 4: f"版权2023\n{prose(9, 4)}\n3 5"}
+
+
 # Fingerprints
 
 
