@@ -3,7 +3,8 @@
 A text's words are hashed and every run of `k` words gets a rolling hash: the cyclic polynomial, whose steps by doubling
 (runs of 2 from words, of 4 from runs of 2) touch each word a few times, whatever `k`. Of each window of `w` runs the
 smallest hash is chosen, of equal ones the rightmost, again by doubling. Two texts that share `k + w - 1` words in a row
-share a chosen hash, and a hash's position says where.
+share a chosen hash, and a hash's position says where. In scripts without spaces, and in very long words, each character
+is a word.
 """
 
 from __future__ import annotations
@@ -14,6 +15,10 @@ from pyspark.sql import functions as F
 from monthmill.llm.common import text_or_empty
 
 BLANKS = " \t\n\x0b\x0c\r"
+#: Characters of scripts without spaces: Thai, Lao, Tibetan, Burmese, Khmer, kana and Han. Each is a word.
+UNSPACED = r"[\u0E00-\u0FFF\u1000-\u109F\u1780-\u17FF\u3040-\u30FF\u31F0-\u31FF\u3400-\u4DBF\u4E00-\u9FFF\uF900-\uFAFF\uFF66-\uFF9D\x{20000}-\x{3FFFF}]"
+#: Of a longer word, as in encoded or minified text, each character is a word.
+LONGEST = 32
 #: The greatest position; it and all smaller ones take the lower half of a packed run, the upper bits of the hash the other.
 _LAST = (1 << 32) - 1
 
@@ -33,6 +38,14 @@ def _zipped(items: Column, by: int, combine) -> Column:
     return F.zip_with(F.slice(items, 1, left), F.slice(items, by + 1, left), combine)
 
 
+def _words(text: Column) -> Column:
+    """The words of a text in lower case. Few texts need more than the split."""
+    split = lambda x: F.filter(F.split(F.btrim(x, F.lit(BLANKS)), r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    spaced = split(F.regexp_replace(text, UNSPACED, " $0 "))
+    cut = F.flatten(F.transform(spaced, lambda w: F.when(F.length(w) > LONGEST, F.split(w, "")).otherwise(F.array(w))))
+    return F.when(F.regexp_like(text, F.lit(f"{UNSPACED}|[^\\x20\\x09-\\x0D]{{{LONGEST + 1}}}")), cut).otherwise(split(text))
+
+
 def with_winnowed(df: DataFrame, text: Column, name: str, k: int = 4, w: int = 4) -> DataFrame:
     """`df` with column `name`: the chosen (hash, pos) of `text` by position, as array<struct<hash, pos>>.
 
@@ -42,8 +55,7 @@ def with_winnowed(df: DataFrame, text: Column, name: str, k: int = 4, w: int = 4
     if k < 1 or k & (k - 1) or w < 1:
         raise ValueError("k must be a power of two and w at least 1")
     words, runs, packed, least = (f"_{name}_{part}" for part in ("words", "runs", "packed", "least"))
-    split = F.split(F.btrim(F.lower(F.coalesce(text, F.lit(""))), F.lit(BLANKS)), r"[\x20\x09-\x0D]+")
-    df = df.withColumn(words, F.filter(split, lambda x: x != ""))
+    df = df.withColumn(words, _words(F.lower(F.coalesce(text, F.lit("")))))
     df = df.withColumn(runs, F.transform(words, lambda x: F.xxhash64(x)))
     length = 1
     while length < k:

@@ -190,3 +190,13 @@ def test_fingerprints_of_odd_rows(spark, edges, empty):
     assert by[6][0]["near_next"] == 1.0 and by[1][0]["fingerprint"] == by[2][0]["fingerprint"]
     assert all(0 <= r["near_edited"] <= 1 and 0 <= r["near_next"] <= 1 for r in got)
     assert winnow.edited_fingerprints(empty).count() == 0
+
+
+def test_texts_without_spaces_have_more_than_one_run(spark):
+    rng = random.Random(3)
+    made = lambda alphabet: "".join(rng.choice(alphabet) for _ in range(300))
+    for alphabet in ([chr(0x4E00 + i) for i in range(500)], [chr(0xE01 + i) for i in range(46)], [chr(0x20000 + i) for i in range(99)], list("abcdefghij0123456789+/")):
+        rows = [(i, made(alphabet)) for i in (1, 2)]
+        got = winnow.edited_fingerprints(frame(spark, rows)).collect()
+        # Two thirds of a text stay.
+        assert len(got) == 2 and all(r["near_edited"] > 0.3 and r["near_next"] < 0.1 for r in got)
