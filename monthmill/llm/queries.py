@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from monthmill.llm import licenses, line_templates, neighbours, packing, piece_bpe, quality, simhash, token_files, url_rules, winnow
+from monthmill.llm import collisions, collocations, licenses, line_templates, neighbours, packing, piece_bpe, quality, resampling, simhash, token_files, url_rules, winnow
 from monthmill.llm.common import hex16, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -150,3 +150,124 @@ with parts as (
 select page_id, host, path, rule, coalesce(verdict, 'allow') as verdict
 from urls left join (select * from fits where k = 1) f using (n)
 """
+
+
+@query
+def op11_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each lang's 2000 strongest phrases of 2 to 3 words."""
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+ORACLE_SQL["op11_phrase_collocations"] = r"""
+with pieces as (
+  select coalesce(lang, 'und') as lang, unnest(string_split_regex(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) as piece
+  from documents
+), worded as (
+  select lang, list_filter(string_split_regex(piece, '[\x20\x09]+'), lambda w: w <> '') as ws from pieces
+), totals as (
+  select lang, cast(sum(len(ws)) as bigint) as n from worded group by lang
+), windows as (
+  select lang, unnest(ws) as w1, unnest(list_resize(ws[2:], len(ws))) as w2, unnest(list_resize(ws[3:], len(ws))) as w3 from worded
+), spelled as (
+  select lang, 1 as m, w1 as phrase from windows
+  union all select lang, 2, w1 || ' ' || w2 from windows where w2 is not null
+  union all select lang, 3, w1 || ' ' || w2 || ' ' || w3 from windows where w3 is not null
+), f as materialized (
+  select lang, m, phrase, string_split(phrase, ' ') as ws, count(*) as f from spelled group by all having count(*) >= 10
+), halves as (
+  select lang, phrase, f as a, k, array_to_string(ws[:k], ' ') as before, array_to_string(ws[k + 1 :], ' ') as after
+  from f join (values (1), (2)) as x(k) on k < m
+), cuts as (
+  select h.lang, h.phrase, a, k, l.f as l, r.f as r, cast((1000000::hugeint * a * a) // (l.f::hugeint * r.f) as bigint) as score
+  from halves h join f l on l.lang = h.lang and l.phrase = before join f r on r.lang = h.lang and r.phrase = after
+), lowest as (
+  select * from cuts qualify row_number() over (partition by lang, phrase order by score, k) = 1
+), around as (
+  select lang, phrase, max(f) as f from (
+    select lang, unnest([array_to_string(ws[:2], ' '), array_to_string(ws[2:], ' ')]) as phrase, f from f where m = 3) group by all
+), kept as (
+  select lowest.* from lowest left join around using (lang, phrase) where around.f is null or 100 * around.f < 50 * a
+)
+select lang, row_number() over (partition by lang order by score desc, a desc, phrase) as rank, phrase, a, l, r, n, score
+from kept join totals using (lang) qualify rank <= 2000
+"""
+
+
+@query
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Score of every document by how like the benchmark it is, and the ranks of the drawn 5 %."""
+    return resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+ORACLE_SQL["op12_importance_resampling"] = r"""
+with tokens as materialized (
+  select 'd' as side, row_number() over () as row, doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as ws
+  from documents
+  union all
+  select 'b', null, null, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')
+  from benchmark
+), windows as (
+  select side, row, unnest(ws) as w1, unnest(list_resize(ws[2:], len(ws))) as w2, unnest(list_resize(ws[3:], len(ws))) as w3 from tokens
+), features as (
+  select side, row, w1 as feature from windows
+  union all select side, row, w1 || ' ' || w2 from windows where w2 is not null
+  union all select side, row, w1 || ' ' || w2 || ' ' || w3 from windows where w3 is not null
+), counted as materialized (
+  select side, row, feature, count(*) as n from features group by all
+), hashed as materialized (
+  select feature, xor(4294967295, list_reduce(
+    list_concat([4294967295], list_transform(range(len(h) * 4), lambda i: (strpos('123456789ABCDEF', substr(h, 2 * (i // 8) + 2 - i // 4 % 2, 1)) >> (i % 4)) & 1)),
+    lambda c, b: xor(c >> 1, (xor(c, b) & 1) * 3988292384))) % 10000 as bucket
+  from (select distinct feature, hex(feature) as h from counted)
+), buckets as (
+  select bucket, coalesce(sum(n) filter (side = 'd'), 0) as s, coalesce(sum(n) filter (side = 'b'), 0) as t
+  from counted join hashed using (feature) group by bucket
+), sums as (
+  select sum(s)::double as s_all, sum(t)::double as t_all from buckets
+), gains as (
+  select bucket, cast(floor(1000 * ln((t::double + 1) * (s_all + 10000) / ((s::double + 1) * (t_all + 10000)))) as bigint) as gain from buckets, sums
+), weights as (
+  select row, cast(sum(n) as bigint) as n_features, cast(sum(n * gain) as bigint) as weight
+  from counted join hashed using (feature) join gains using (bucket) where side = 'd' group by row
+), scored as (
+  select doc_id, cast(len(ws) as bigint) as n_words, coalesce(n_features, 0) as n_features, coalesce(weight, 0) as weight,
+    coalesce(weight, 0) + cast(floor(-1000 * ln(-ln((('0x' || substr(sha256('42:' || doc_id), 1, 8))::bigint + 0.5::double) / 4294967296))) as bigint) as score
+  from tokens left join weights using (row) where side = 'd'
+), placed as (
+  select *, row_number() over (partition by n_words >= 20 order by score desc, doc_id) as place,
+    count(*) filter (n_words >= 20) over () as long_enough
+  from scored
+)
+select doc_id, n_words, n_features, weight, score, case when n_words >= 20 and place <= 5 * long_enough // 100 then place end as rank from placed
+"""
+
+
+@query
+def op13_embedding_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and component of every vector under cosines of 0.9 or more."""
+    return collisions.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+ORACLE_SQL["op13_embedding_near_duplicates"] = """
+with recursive usable as (
+  select row_number() over () as row, vec_id, embedding,
+    coalesce(len(embedding) > 0 and len(list_filter(embedding, lambda x: x is null or isnan(x) or isinf(x))) = 0
+      and len(list_filter(embedding, lambda x: x <> 0)) > 0, false) as ok
+  from embeddings
+), units as (
+  select row, vec_id, embedding::double[] as v, sqrt(list_inner_product(embedding::double[], embedding::double[])) as size from usable where ok
+), pairs as (
+  select a.row as u, b.row as v, b.vec_id from units a join units b on a.row <> b.row and len(a.v) = len(b.v)
+  where list_inner_product(a.v, b.v) / (a.size * b.size) >= 0.9
+), reached as (
+  select row, vec_id, row as at from usable
+  union
+  select p.v, reached.vec_id, p.v from reached join pairs p on p.u = reached.at
+)
+select vec_id, n_links, component_id, vec_id = component_id as kept from (
+  select u.vec_id, (select count(*) from pairs p where p.u = u.row) as n_links, (select min(r.vec_id) from reached r where r.row = u.row) as component_id
+  from usable u)
+"""
