@@ -282,6 +282,9 @@ SQL = {
     "csv_bronze": "select * from attrs",
     "rerun_over_snapshots": f"""select * replace ({LOAN_DOUBLES}, cast(tenure + case when snapshot_date {WINDOW} then 1 else 0 end as int)
         as tenure) from loans""",
+    "read_during_rebuild": f"select * replace ({LOAN_DOUBLES}) from loans",
+    "read_after_failed_rebuild": f"select * replace ({LOAN_DOUBLES}) from loans",
+    "rows_of_builds": "select snapshot_date, count(*) row_count from loans group by 1",
     "first_rows": """select * from attrs order by "Customer_ID", snapshot_date, "Occupation", "Name", "Age", "SSN" limit 20""",
     "silver_loan_snapshots": f"select * replace ({LOAN_DOUBLES}) from sloans",
     "gold_label_store": "select * from labels30",
@@ -292,6 +295,8 @@ SQL = {
     "bad_rate_at_installment": BAD_RATE.format("and installment_num = 10"),
     "label_store_run": f"select * from labels30 where snapshot_date {WINDOW}",
     "label_store_all_months": "select * from labels30",
+    "changed_months_only": f"""select * replace (case when snapshot_date = date '{ABSENT}' then 0 else "label" end as "label"),
+        case when snapshot_date = date '{ABSENT}' then 1 else 0 end rebuilt from labels30""",
     "silver_loans_tiny_due": """select loan_id, installment_num, least(m, 2147483647)::int installments_missed,
         case when m between 1 and 60000000 then cast(snapshot_date - to_months(least(m, 1000)::int) as date) end first_missed_date,
         case when coalesce(overdue_amt, 0) <= 0 then 0 when m > 60000000 then 2147483647

@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from datetime import date
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,9 +36,12 @@ from ..schemas import KEYS, LOAN_KINDS, RAW_COLUMNS, SNAPSHOT, SSN_FORMAT
 from ..session import at_once, stage
 from ..sources.snapshots import (
     ingest,
+    publish_snapshots,
     read_csv,
     read_snapshots,
     snapshot_dates,
+    snapshot_versions,
+    snapshots_in,
     spine_between,
     write_snapshots,
 )
@@ -152,6 +158,38 @@ def rerun_over_snapshots(spark, sf_dir):
     return _doubles(read_snapshots(spark, root))
 
 
+@query
+def read_during_rebuild(spark, sf_dir):
+    """All months as a reader sees them that began before a rebuild of one window, and reads after it."""
+    root, raw = _scratch(spark), views.loans(spark, sf_dir)
+    write_snapshots(ingest(raw), root)
+    begun = read_snapshots(spark, root)
+    write_snapshots(ingest(raw, snapshot_dates(START, END)).withColumn("tenure", F.lit(-1)), root, snapshot_dates(START, END))
+    return _doubles(begun)
+
+
+@query
+def read_after_failed_rebuild(spark, sf_dir):
+    """All months after a rebuild of all of them that broke off while it wrote."""
+    root, raw = _scratch(spark), views.loans(spark, sf_dir)
+    write_snapshots(ingest(raw), root)
+    broken = F.when(F.col("loan_id").cast("long") % 97 == 5, F.raise_error(F.lit("broken off")).cast("int")).otherwise(-1)
+    try:
+        write_snapshots(ingest(raw).withColumn("tenure", broken), root)
+    except (PySparkException, Py4JJavaError) as error:
+        if "broken off" not in str(error):
+            raise
+    return _doubles(read_snapshots(spark, root))
+
+
+@query
+def rows_of_builds(spark, sf_dir):
+    """Rows of every month as the ledger has them, counted while they were written."""
+    written = publish_snapshots(ingest(views.loans(spark, sf_dir)), _scratch(spark))
+    rows = [(date.fromisoformat(d), n) for d, n in written.rows.items()]
+    return spark.createDataFrame(rows, f"{SNAPSHOT} date, row_count long")
+
+
 @query
 def first_rows(spark, sf_dir):
     """The first rows of the raw attributes in a defined order; the number is the feature."""
@@ -205,6 +243,24 @@ def label_store_all_months(spark, sf_dir):
     return run_label_store(spark, f"{root}/raw", f"{root}/mart", FIRST, LAST)
 
 
+@query
+def changed_months_only(spark, sf_dir):
+    """The label store of all months, run again after the raw rows of one month changed: labels, and which months are new."""
+    root, loans = _scratch(spark), views.loans(spark, sf_dir)
+
+    def run(name, rows):
+        rows.write.option("header", True).csv(f"{root}/{name}")
+        return run_label_store(spark, f"{root}/{name}", f"{root}/mart", FIRST, LAST, only_changed=True)
+
+    run("raw", loans)
+    gold = stores.Mart(f"{root}/mart").gold("labels")
+    before = snapshot_versions(spark, gold)
+    other = F.col(SNAPSHOT) == F.lit(ABSENT).cast("date")
+    labels = run("again", loans.withColumn("overdue_amt", F.when(other, F.lit(0).cast("float")).otherwise(F.col("overdue_amt"))))
+    rebuilt = [d for d, version in snapshot_versions(spark, gold).items() if version != before[d]]
+    return labels.withColumn("rebuilt", F.col(SNAPSHOT).cast("string").isin(rebuilt).cast("int"))
+
+
 @query
 def silver_loans_tiny_due(spark, sf_dir):
     """Amounts due so small that the missed installments leave the range of int and the first missed date that of dates."""
@@ -442,7 +498,7 @@ def null_report_of_builds(spark, sf_dir):
     """The report that the gold build leaves beside its table."""
     root = _scratch(spark)
     write_snapshots(_aggregated(spark, sf_dir), f"{root}/aggregated")
-    dates = stores.snapshots_in(spark, f"{root}/aggregated")
+    dates = snapshots_in(spark, f"{root}/aggregated")
     stores.build_gold_features(spark, f"{root}/aggregated", f"{root}/gold", dates)
     return read_snapshots(spark, f"{root}/gold_nulls", dates)
 

@@ -11,6 +11,7 @@ import sys
 from .plans import stores
 from .schemas import RAW_COLUMNS
 from .session import build_session
+from .sources.ledger import Ledger
 from .sources.snapshots import read_csv
 
 
@@ -39,7 +40,11 @@ def parser() -> argparse.ArgumentParser:
     for sub in (labels, one):
         sub.add_argument("--dpd", type=int, default=30)
         sub.add_argument("--mob", type=int, default=6)
-    command("feature-store", *[f"--{s}" for s in stores.SOURCES], "--root", "--start", "--end", dated=False)
+    features = command("feature-store", *[f"--{s}" for s in stores.SOURCES], "--root", "--start", "--end", dated=False)
+    for sub in (labels, features):
+        sub.add_argument("--only-changed", action="store_true", help="build only months whose inputs changed since the last such run")
+    vacuum = command("vacuum", "--table", dated=False)
+    vacuum.add_argument("--keep", type=int, default=1, help="ledger entries whose files stay; no reader or build may be at work")
     return top
 
 
@@ -56,10 +61,11 @@ def run(spark, args) -> None:
         ),
         "gold-labels": lambda: stores.build_gold_labels(spark, args.silver, args.out, day, args.dpd, args.mob),
         "gold-features": lambda: stores.build_gold_features(spark, args.aggregated, args.out, day),
-        "label-store": lambda: stores.run_label_store(spark, args.loans, args.root, args.start, args.end, args.dpd, args.mob),
+        "label-store": lambda: stores.run_label_store(spark, args.loans, args.root, args.start, args.end, args.dpd, args.mob, args.only_changed),
         "feature-store": lambda: stores.run_feature_store(
-            spark, {s: getattr(args, s) for s in stores.SOURCES}, args.root, args.start, args.end
+            spark, {s: getattr(args, s) for s in stores.SOURCES}, args.root, args.start, args.end, only_changed=args.only_changed
         ),
+        "vacuum": lambda: Ledger(spark, args.table).vacuum(args.keep),
     }
     built = jobs[args.command]()
     if isinstance(built, stores.Built) and built.skipped:

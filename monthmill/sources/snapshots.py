@@ -2,16 +2,22 @@
 
 from __future__ import annotations
 
-from datetime import date
+import json
+from dataclasses import dataclass
+from datetime import date, timedelta
 
 from py4j.protocol import Py4JJavaError
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType, StringType, StructField, StructType
 
 from ..functions.dates import month_starts
 from ..schemas import SNAPSHOT
-from ..session import at_once
+from .ledger import VERSION, Ledger, Snapshot, publish
+
+EPOCH = date(1970, 1, 1)
+#: More than the days of any one write, so that a histogram of days never joins two of them.
+DAYS = 4096
 
 
 class MissingSnapshot(LookupError):
@@ -66,42 +72,74 @@ def ingest(raw: DataFrame, dates: list[str] | None = None) -> DataFrame:
     )
 
 
+@dataclass(frozen=True)
+class Written:
+    """Rows of each snapshot that a write replaced, and their NULLs by column, counted by the write itself."""
+
+    rows: dict[str, int]
+    nulls: dict[str, dict[str, int]]
+
+    @property
+    def total(self) -> int:
+        return sum(self.rows.values())
+
+
 def write_snapshots(
     df: DataFrame, root: str, dates: list[str] | None = None, rebalance: bool = True, format: str = "parquet"
 ) -> int:
-    """Replace the snapshots found in ``df``, and return the number of rows.
-
-    Other snapshots of the table stay. A date of ``dates`` without rows is
-    replaced by an empty snapshot, so that a rerun leaves nothing stale.
-    ``rebalance`` gathers each snapshot into files of even size and splits a
-    large snapshot over many tasks; rows that already lie by snapshot do not
-    need it.
+    """Replace the snapshots found in ``df``, and return the number of rows; see ``publish_snapshots``."""
+    return publish_snapshots(df, root, dates, rebalance, format).total
+
+
+def publish_snapshots(
+    df: DataFrame,
+    root: str,
+    dates: list[str] | None = None,
+    rebalance: bool = True,
+    format: str = "parquet",
+    inputs: dict[str, dict[str, str]] | None = None,
+    count_nulls: bool = False,
+) -> Written:
+    """Replace the snapshots found in ``df``, all at once: until the end readers see the old ones, and after a failure too.
+
+    Other snapshots of the table stay. A date of ``dates`` without rows is replaced by an empty snapshot, so that a rerun
+    leaves nothing stale. Rows without a date are not written. ``rebalance`` gathers each snapshot into files of even size
+    and splits a large snapshot over many tasks; rows that already lie by snapshot do not need it. ``inputs`` (by date) and,
+    with ``count_nulls``, the NULLs of every column are kept in the ledger.
     """
-    seen = Observation()
-    out = df.observe(
-        seen,
-        F.count(F.lit(1)).alias("rows"),
-        F.collect_set(F.col(SNAPSHOT).cast("string")).alias("dates"),
-    )
+    spark, columns = df.sparkSession, [c for c in df.columns if c != SNAPSHOT]
+    seen, day = Observation(), F.unix_date(SNAPSHOT)
+    # A histogram with more bins than there are days keeps an exact count of each day, so one number per day and column is
+    # observed while the rows are written.
+    per_day = {"": day} | {c: F.when(F.col(f"`{c}`").isNull(), day) for c in columns if count_nulls}
+    out = df.where(F.col(SNAPSHOT).isNotNull())
     if rebalance:
         out = out.hint("rebalance", SNAPSHOT)
+    # Observed behind the shuffle, by the tasks that write: Spark counts each of these once, however often it was tried.
+    out = out.observe(seen, *(F.histogram_numeric(v, F.lit(DAYS)).alias(f"days_{i}") for i, v in enumerate(per_day.values())))
     options = {"header": True, "escape": '"'} if format == "csv" else {}
-    (
-        out.write.partitionBy(SNAPSHOT)
-        .option("partitionOverwriteMode", "dynamic")
-        .options(**options)
-        .format(format)
-        .mode("overwrite")
-        .save(root)
-    )
-    empty = df.sparkSession.createDataFrame([], df.drop(SNAPSHOT).schema)
-
-    def mark(day):
-        return lambda: empty.write.options(**options).format(format).mode("overwrite").save(f"{root}/{SNAPSHOT}={day}")
-
-    found = _observed(seen)
-    at_once(*[mark(day) for day in sorted(set(dates or []) - set(found["dates"]))])
-    return found["rows"]
+    schema = StructType([f for f in df.schema if f.name != SNAPSHOT]).json()
+    counted: dict[str, dict[str, int]] = {}
+
+    def write(version: str) -> dict[str, Snapshot]:
+        out.write.partitionBy(SNAPSHOT).options(**options).format(format).save(f"{root}/{VERSION}={version}")
+        found = _observed(seen)
+        for i, column in enumerate(per_day):
+            counted[column] = {}
+            # What different tasks counted for a day may come as bins of their own.
+            for x, y in found.get(f"days_{i}") or []:
+                d = (EPOCH + timedelta(days=int(x))).isoformat()
+                counted[column][d] = counted[column].get(d, 0) + int(y)
+            if len(counted[column]) >= DAYS:
+                raise ValueError(f"{DAYS} snapshots or more in one write")
+        rows = counted.pop("")
+        return {
+            d: Snapshot(version, schema, rows.get(d, 0), len(rows), {c: n[d] for c, n in counted.items() if d in n}, (inputs or {}).get(d, {}))
+            for d in sorted({*(dates or []), *rows})
+        }
+
+    written = publish(spark, root, write)
+    return Written({d: s.rows for d, s in written.items()}, {d: s.nulls for d, s in written.items()})
 
 
 def _observed(seen: Observation) -> dict:
@@ -109,17 +147,17 @@ def _observed(seen: Observation) -> dict:
         return seen.get
     except Py4JJavaError:
         # Where the optimizer knows that there are no rows, the observation has none either.
-        return {"rows": 0, "dates": []}
+        return {}
 
 
 def snapshots_in(spark: SparkSession, root: str) -> list[str]:
-    """The snapshots a table has, empty ones too, by its folders; none where there is no table."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(root)
-    store = folder.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not store.exists(folder):
-        return []
-    names = [status.getPath().getName() for status in store.listStatus(folder)]
-    return sorted(n.removeprefix(f"{SNAPSHOT}=") for n in names if n.startswith(f"{SNAPSHOT}="))
+    """The snapshots a table has, empty ones too, by its ledger; none where there is no table."""
+    return sorted(Ledger(spark, root).current() or {})
+
+
+def snapshot_versions(spark: SparkSession, root: str) -> dict[str, str]:
+    """Date to version: a snapshot that is written again gets another one."""
+    return {d: s.version for d, s in (Ledger(spark, root).current() or {}).items()}
 
 
 def read_snapshots(
@@ -127,19 +165,47 @@ def read_snapshots(
 ) -> DataFrame:
     """A snapshot table, or some of its snapshots; all of ``dates`` must exist.
 
-    A column that only some snapshots have is NULL in the others. A CSV table needs ``columns``, its columns in their
-    order; every file's header is checked against them.
+    Columns come from the ledger, so no file is opened before the scan. One that only some snapshots have is NULL in the
+    others; one that changed its type is an error. Of a CSV table ``columns``, if given, are its columns in their order;
+    every file's header is checked against them.
     """
-    paths = [f"{root}/{SNAPSHOT}={d}" for d in dates] if dates else [root]
-    reader = spark.read.option("basePath", root)
-    try:
-        if format == "csv":
-            kept = [c for c in columns or [] if c != SNAPSHOT]
-            reader = reader.option("header", True).option("escape", '"').option("enforceSchema", False)
-            found = reader.schema(", ".join(f"`{c}` string" for c in kept)).csv(paths)
-            return found.withColumn(SNAPSHOT, F.col(SNAPSHOT).cast("date"))
-        return reader.option("mergeSchema", True).parquet(*paths)
-    except AnalysisException as error:
-        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            raise MissingSnapshot(str(error)) from error
-        raise
+    found = Ledger(spark, root).current()
+    if found is None:
+        raise MissingSnapshot(f"{root} has no ledger of snapshots")
+    if missing := set(dates or []) - set(found):
+        raise MissingSnapshot(f"{root} has no snapshots {sorted(missing)}")
+    wanted = {d: found[d] for d in sorted(dates or found)}
+    if columns is None:
+        fields = _united(root, wanted).fields
+    else:
+        fields = [StructField(c, StringType()) for c in columns if c != SNAPSHOT]
+    schema = StructType([*fields, StructField(SNAPSHOT, DateType())])
+    paths = _folders(root, wanted)
+    if not paths:
+        return spark.createDataFrame([], schema)
+    options = {"header": True, "escape": '"', "enforceSchema": False} if format == "csv" else {}
+    rows = spark.read.options(basePath=root, **options).schema(schema).format(format).load(paths)
+    return rows.select(*(f"`{f.name}`" for f in schema))
+
+
+def _united(root: str, snapshots: dict[str, Snapshot]) -> StructType:
+    fields: dict[str, StructField] = {}
+    for schema in dict.fromkeys(s.schema for s in snapshots.values()):
+        for field in StructType.fromJson(json.loads(schema)):
+            known = fields.setdefault(field.name, StructField(field.name, field.dataType))
+            if known.dataType != field.dataType:
+                raise TypeError(f"{root}: {field.name} is {known.dataType.simpleString()} in some snapshots and {field.dataType.simpleString()} in others")
+    return StructType(list(fields.values()))
+
+
+def _folders(root: str, wanted: dict[str, Snapshot]) -> list[str]:
+    """A version's folder where all that was written to it is wanted, else the folders of its wanted snapshots."""
+    days: dict[str, list[str]] = {}
+    for d, s in wanted.items():
+        if s.rows:
+            days.setdefault(s.version, []).append(d)
+    paths = []
+    for version, some in days.items():
+        folder = f"{root}/{VERSION}={version}"
+        paths += [folder] if len(some) == wanted[some[0]].together else [f"{folder}/{SNAPSHOT}={d}" for d in some]
+    return paths

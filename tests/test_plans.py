@@ -14,6 +14,7 @@ from monthmill.plans.financials import FINANCIAL_RENAMES, clean_financials, silv
 from monthmill.plans.loans import bad_rate_by_mob, gold_labels, silver_loans
 from monthmill.schemas import FIXED_CAPS, LOAN_KINDS, QUANTILE_CLIPPED
 from monthmill.functions.text import snake_case
+from monthmill.sources.snapshots import read_snapshots, snapshot_versions
 
 D = date(2023, 3, 31)
 SF = "/root/testdata/sf0.001"
@@ -190,17 +191,17 @@ def test_feature_store_run(spark, mart):
     raw, m, gold = mart
     months = [date(1996, i, 1) for i in (1, 2, 3, 4)]
     for table in (m.bronze("loans"), m.silver("financials"), m.gold("labels")):
-        found = spark.read.parquet(table).select("snapshot_date").distinct()
+        found = read_snapshots(spark, table).select("snapshot_date").distinct()
         assert sorted(r[0] for r in found.collect()) == months
     dates = [str(d) for d in months]
     lazy = silver_financials(views.financials(spark, SF).where(F.col("snapshot_date").isin(months)))
-    written = spark.read.parquet(m.silver("financials")).select(*lazy.columns)
+    written = read_snapshots(spark, m.silver("financials")).select(*lazy.columns)
     assert written.count() == lazy.count() and written.exceptAll(lazy).count() == 0
-    assert gold.count() == spark.read.parquet(m.silver("aggregated")).count() > 0
+    assert gold.count() == read_snapshots(spark, m.silver("aggregated")).count() > 0
     # A rerun replaces, it does not add.
-    before = spark.read.parquet(m.gold("labels")).count()
+    before = read_snapshots(spark, m.gold("labels")).count()
     assert stores.build_gold_labels(spark, m.silver("loans"), m.gold("labels"), dates) == stores.Built(before)
-    assert spark.read.parquet(m.gold("labels")).count() == before
+    assert read_snapshots(spark, m.gold("labels")).count() == before
 
 
 def test_missing_tables(spark, mart, tmp_path):
@@ -222,7 +223,7 @@ def test_one_absent_month_costs_that_month_only(spark, mart, tmp_path):
     assert built.skipped == ["2020-01-01"]
     assert built.rows == gold.where(F.col("snapshot_date") < date(1996, 4, 1)).count()
     # The report of NULLs stands beside the table.
-    report = spark.read.parquet(str(tmp_path / "g_nulls"))
+    report = read_snapshots(spark, str(tmp_path / "g_nulls"))
     assert set(report.columns) == {"snapshot_date", "column_name", "null_count", "null_pct"}
 
 
@@ -255,10 +256,46 @@ def test_one_snapshot_jobs(spark, mart, tmp_path):
     args = ["--snapshot-date", "1996-02-01"]
     run(spark, parser().parse_args(["bronze", *args, "--raw", raw["loans"], "--out", str(tmp_path / "b")]))
     day = date(1996, 2, 1)
-    assert spark.read.parquet(str(tmp_path / "b")).count() == views.loans(spark, SF).where(F.col("snapshot_date") == day).count()
+    assert read_snapshots(spark, str(tmp_path / "b")).count() == views.loans(spark, SF).where(F.col("snapshot_date") == day).count()
     tables = [x for t in ("clickstream", "attributes", "financials") for x in (f"--{t}", m.silver(t))]
     run(spark, parser().parse_args(["aggregate", *args, *tables, "--out", str(tmp_path / "a")]))
     run(spark, parser().parse_args(["gold-features", *args, "--aggregated", str(tmp_path / "a"), "--out", str(tmp_path / "g")]))
-    one = spark.read.parquet(str(tmp_path / "g"))
+    one = read_snapshots(spark, str(tmp_path / "g"))
     assert one.select(*gold.columns).exceptAll(gold).count() == 0
     assert one.count() == gold.where(F.col("snapshot_date") == day).count()
+
+
+def test_only_changed_months_are_built_again(spark, tmp_path):
+    """One month's raw rows change: it is new in every layer, all other months stay the versions they were."""
+    def run(name, change=False):
+        loans = views.loans(spark, SF)
+        if change:
+            other = F.col("snapshot_date") == date(1996, 2, 1)
+            loans = loans.withColumn("overdue_amt", F.when(other, F.lit(0).cast("float")).otherwise(F.col("overdue_amt")))
+        loans.write.option("header", True).csv(str(tmp_path / name))
+        stores.run_label_store(spark, str(tmp_path / name), str(tmp_path / "m"), "1996-01-01", "1996-04-01", only_changed=True)
+        return {t: snapshot_versions(spark, t) for t in (m.bronze("loans"), m.silver("loans"), m.gold("labels"))}
+
+    m = stores.Mart(str(tmp_path / "m"))
+    first, same, changed = run("a"), run("b"), run("c", change=True)
+    assert same == first and all(len(v) == 4 for v in first.values())
+    for table, versions in changed.items():
+        assert [d for d, v in versions.items() if v != first[table][d]] == ["1996-02-01"], table
+    # Other parameters are another input.
+    dates = list(first[m.gold("labels")])
+    again = stores.build_gold_labels(spark, m.silver("loans"), m.gold("labels"), dates, dpd=60, only_changed=True)
+    assert sorted(again.months) == dates
+    # What is gone from a month is gone from all layers: the rebuilt gold month is that of a build from scratch.
+    stores.build_gold_labels(spark, m.silver("loans"), str(tmp_path / "g"), dates, dpd=60)
+    ours, theirs = read_snapshots(spark, m.gold("labels")), read_snapshots(spark, str(tmp_path / "g"))
+    assert ours.count() == theirs.count() > 0 and ours.exceptAll(theirs).count() == 0
+
+
+def test_null_report_is_that_of_the_table(spark, mart):
+    from monthmill.operators.profile import null_report
+
+    _, m, _ = mart
+    for table in (m.silver("aggregated"), m.gold("features")):
+        want = null_report(read_snapshots(spark, table), ["snapshot_date"])
+        got = read_snapshots(spark, f"{table}_nulls").select(*want.columns)
+        assert got.count() == want.count() > 0 and got.exceptAll(want).count() == 0

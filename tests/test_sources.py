@@ -7,6 +7,7 @@ from py4j.protocol import Py4JJavaError
 from pyspark.sql import functions as F
 
 from monthmill.sources import snapshots as s
+from monthmill.sources.ledger import Ledger, Snapshot
 
 
 def test_csv_keeps_text_and_quotes(spark, tmp_path):
@@ -109,3 +110,89 @@ def test_jobs_at_once_keep_the_job_group(spark):
     at_once(lambda: spark.range(5).count(), lambda: spark.range(6).collect())
     assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("mine")) >= 2
     spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+# The ledger
+
+
+def test_failed_write_leaves_the_table_as_it_was(spark, tmp_path):
+    root = str(tmp_path / "t")
+    s.write_snapshots(frame(spark, [(1, "2023-01-01"), (2, "2023-02-01")]), root)
+    before = sorted(p.name for p in (tmp_path / "t").iterdir())
+    broken = frame(spark, [(3, "2023-01-01"), (4, "2023-02-01")]).withColumn("v", F.when(F.col("v") == 4, F.raise_error(F.lit("no")).cast("int")).otherwise(F.col("v")))
+    with pytest.raises(Exception, match="no"):
+        s.write_snapshots(broken, root)
+    assert stored(spark, root) == [(1, "2023-01-01"), (2, "2023-02-01")]
+    assert sorted(p.name for p in (tmp_path / "t").iterdir()) == before
+
+
+def test_first_write_that_fails_leaves_no_table(spark, tmp_path):
+    root = str(tmp_path / "t")
+    broken = frame(spark, [(3, "2023-01-01")]).withColumn("v", F.raise_error(F.lit("no")).cast("int"))
+    with pytest.raises(Exception, match="no"):
+        s.write_snapshots(broken, root)
+    with pytest.raises(s.MissingSnapshot):
+        s.read_snapshots(spark, root)
+
+
+def test_reader_keeps_what_it_began_with_until_vacuum(spark, tmp_path):
+    root = str(tmp_path / "t")
+    s.write_snapshots(frame(spark, [(1, "2023-01-01"), (2, "2023-02-01")]), root)
+    begun = s.read_snapshots(spark, root)
+    s.write_snapshots(frame(spark, [(3, "2023-02-01")]), root)
+    assert sorted(r["v"] for r in begun.collect()) == [1, 2]
+    s.write_snapshots(frame(spark, [(4, "2023-02-01")]), root)
+    # Only the second version is not named any more.
+    assert len(Ledger(spark, root).vacuum()) == 1 and Ledger(spark, root).vacuum() == []
+    assert stored(spark, root) == [(1, "2023-01-01"), (4, "2023-02-01")]
+    assert Ledger(spark, str(tmp_path / "none")).vacuum() == []
+
+
+def test_two_writers_lose_nothing(spark, tmp_path):
+    from monthmill.session import at_once
+
+    root = str(tmp_path / "t")
+    at_once(*[lambda i=i: s.write_snapshots(frame(spark, [(i, f"2023-0{i}-01")]), root) for i in range(1, 7)])
+    assert stored(spark, root) == [(i, f"2023-0{i}-01") for i in range(1, 7)]
+
+
+def test_entry_appears_once(spark, tmp_path):
+    ledger = Ledger(spark, str(tmp_path / "t"))
+    schema = frame(spark, []).drop("snapshot_date").schema.json()
+    assert ledger.current() is None
+    assert ledger._put(0, {"2023-01-01": Snapshot("a", schema, 1, 1)})
+    assert not ledger._put(0, {"2023-01-01": Snapshot("b", schema, 1, 1)})
+    assert ledger.current()["2023-01-01"].version == "a"
+    assert [p.name for p in (tmp_path / "t" / "_ledger").iterdir() if p.suffix != ".crc"] == ["00000000.json"]
+
+
+def test_counts_are_those_of_the_write(spark, tmp_path):
+    rows = [(1, None, "2023-01-01"), (None, None, "2023-01-01"), (2, "x", "2023-02-01"), (3, "y", None)]
+    df = spark.createDataFrame([(v, w, d and date.fromisoformat(d)) for v, w, d in rows], "v int, `w w` string, snapshot_date date")
+    written = s.publish_snapshots(df, str(tmp_path / "t"), ["2023-02-01", "2023-03-01"], count_nulls=True)
+    assert written.rows == {"2023-01-01": 2, "2023-02-01": 1, "2023-03-01": 0} and written.total == 3
+    assert written.nulls == {"2023-01-01": {"v": 1, "w w": 2}, "2023-02-01": {}, "2023-03-01": {}}
+    assert s.read_snapshots(spark, str(tmp_path / "t")).columns == ["v", "w w", "snapshot_date"]
+    nothing = s.publish_snapshots(df.where("false"), str(tmp_path / "u"), ["2023-03-01"], count_nulls=True)
+    assert nothing.rows == {"2023-03-01": 0} and s.read_snapshots(spark, str(tmp_path / "u")).count() == 0
+
+
+def test_no_job_before_the_scan(spark, tmp_path):
+    root = str(tmp_path / "t")
+    for i in range(1, 5):
+        s.write_snapshots(frame(spark, [(i, f"2023-0{i}-01")]).withColumn(f"c{i}", F.lit(i)), root)
+    spark.sparkContext.setJobGroup("reading", "")
+    got = s.read_snapshots(spark, root)
+    assert got.columns == ["v", "c1", "c2", "c3", "c4", "snapshot_date"]
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("reading")) == 0
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert sorted((r["v"], r["c1"], r["c4"]) for r in got.collect()) == [(1, 1, None), (2, None, None), (3, None, None), (4, None, 4)]
+
+
+def test_changed_type_is_refused(spark, tmp_path):
+    root = str(tmp_path / "t")
+    s.write_snapshots(frame(spark, [(1, "2023-01-01")]), root)
+    s.write_snapshots(frame(spark, [(1, "2023-02-01")]).withColumn("v", F.lit("x")), root)
+    with pytest.raises(TypeError, match="v is int in some snapshots and string in others"):
+        s.read_snapshots(spark, root)
+    assert s.read_snapshots(spark, root, ["2023-02-01"]).first()["v"] == "x"
