@@ -5,7 +5,7 @@ piece ends. Only these longest windows are counted. A phrase's count is then the
 ROLLUP over the windows' columns gives the counts of all shorter phrases, and no n-grams of other lengths are ever made.
 The leads are shifted arrays instead of Spark's `lead`, which would shuffle and sort every single word.
 
-Shuffles. Windows are counted per Arrow batch, sorted, so that neighbours compress, and dealt by their first two words.
+Shuffles. Windows are counted per block of text, sorted, so that neighbours compress, and dealt by their first two words.
 There all windows of a pair meet, so a window that is rarer than `min_count` can drop its last words before ROLLUP sums
 them (its shorter prefixes keep its count): of the second shuffle only frequent phrases and single words are left.
 """
@@ -26,7 +26,7 @@ from monthmill.llm.common import staged
 PIECE_ENDS, GAPS = b".,;:!?\x0a\x0b\x0c\x0d", b"\x20\x09"
 
 #: Characters of text that a task holds as arrays at a time, beside one longer text.
-BLOCK = 1 << 25
+BLOCK = 1 << 24
 
 
 def _byte_kinds() -> np.ndarray:
@@ -65,24 +65,28 @@ def _counted_windows(texts: pa.Array, langs: pa.Array, order: int) -> pa.RecordB
     inside = np.append(kind == 0, False)
     opens = np.zeros(len(data) + 1, bool)  # bytes that begin a text
     opens[offsets] = True
-    before = np.append(False, inside[:-1]) & ~opens
-    starts = np.flatnonzero(inside & ~before)
-    ends = np.flatnonzero((np.append(False, inside[:-1]) & ~(inside & before)))
-    piece = np.searchsorted(np.flatnonzero(opens[:-1] | (kind == 2)), starts, "right")
+    before = np.append(False, inside[:-1])
+    starts = np.flatnonzero(inside & (opens | ~before))
+    ends = np.flatnonzero(before & (opens | ~inside))
+    piece = np.searchsorted(np.flatnonzero(opens[:-1] | (kind == 2)), starts, "right").astype(np.int32)
     doc = np.searchsorted(offsets, starts, "right") - 1
 
     places = np.append(0, np.cumsum(ends - starts))
-    words = pa.LargeStringArray.from_buffers(len(starts), pa.py_buffer(places.astype(np.int64)), pa.py_buffer(low[data[inside[:-1]]]))
+    words = pa.LargeStringArray.from_buffers(len(starts), pa.py_buffer(places), pa.py_buffer(low[data[inside[:-1]]]))
     words = words.dictionary_encode()
     codes, langs = words.indices.to_numpy(), langs.dictionary_encode()
-    columns = {"lang": pa.array(langs.indices.to_numpy()[doc]), "w1": pa.array(codes)}
+    columns = {"lang": langs.indices.to_numpy()[doc], "w1": codes}
     for k in range(1, order):
-        later = np.full(len(codes), -1, np.int32)
+        columns[f"w{k + 1}"] = later = np.full(len(codes), -1, np.int32)
         if k < len(codes):
             later[:-k] = np.where(piece[k:] == piece[:-k], codes[k:], -1)
-        columns[f"w{k + 1}"] = pa.array(later)
-    table = pa.table(columns).group_by(list(columns), use_threads=False).aggregate([([], "count_all")])
-    table = table.sort_by([(c, "ascending") for c in columns]).combine_chunks()
+    del data, kind, inside, opens, before, starts, ends, piece, doc, places
+    counted = pa.table(columns).group_by(list(columns), use_threads=False).aggregate([([], "count_all")])
+    del columns, codes
+    # Windows that begin alike stand together.
+    first, second = (counted[c].to_numpy().astype(np.int64) for c in ("w1", "w2"))
+    table = counted.take(pa.array(np.argsort((first << 32) + second))).combine_chunks()
+    del counted, first, second
 
     def spelled(column: str) -> pa.Array:
         at = table[column].combine_chunks()
@@ -119,17 +123,16 @@ def phrase_counts(docs: DataFrame, max_words: int = 3, min_count: int = 10) -> D
     if max_words < 2:
         raise ValueError("phrases have two words at least")
     rest = [f"w{k}" for k in range(3, max_words + 1)]
-    pair = ["lang", "lead"]
-    met = windows(docs, max_words).repartition(*pair).groupBy(*pair, *rest).agg(F.sum("n").alias("n"))
-    # The windows of a pair lie in one partition: how often each of their prefixes occurs is known without a shuffle.
-    often = {}
-    for k in range(2, max_words + 1):
-        key = [*pair, *rest[: k - 2]]
-        often[k] = F.col("n") if k == max_words else F.sum("n").over(Window.partitionBy(*key))
-    known = met.select("*", *(n.alias(f"n{k}") for k, n in often.items()))
+    met = windows(docs, max_words).repartition("lang", "lead")
+    # The windows of a pair lie in one partition: how often each of their prefixes occurs is known without a shuffle, by one
+    # sort. A number in front makes that sort fast.
+    known, pair = met.withColumn("pair", F.xxhash64("lang", "lead")), ["pair", "lang", "lead"]
+    for k in range(max_words, 1, -1):
+        known = known.withColumn(f"n{k}", F.sum("n").over(Window.partitionBy(*pair, *rest[: k - 2])))
     spelled = {2: F.when(F.contains("lead", F.lit(" ")), F.substring_index("lead", " ", -1))} | {k: F.col(f"w{k}") for k in range(3, max_words + 1)}
     kept = [F.when(F.col(f"n{k}") >= min_count, word).alias(f"w{k}") for k, word in spelled.items()]
     folded = known.select("lang", F.substring_index("lead", " ", 1).alias("w1"), *kept, "n")
+    folded = folded.groupBy(*folded.columns[:-1]).agg(F.sum("n").alias("n"))
     words = [f"w{k}" for k in range(1, max_words + 1)]
     size = " + ".join(f"(1 - grouping({w}))" for w in words)
     rolled = docs.sparkSession.sql(
