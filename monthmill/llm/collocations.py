@@ -44,24 +44,22 @@ def _lowered() -> np.ndarray:
 
 def _blocks(batch: pa.RecordBatch) -> Iterator[tuple[pa.Array, pa.Array]]:
     """Texts and langs of runs of rows that hold at most BLOCK bytes, or one row."""
-    texts = pc.fill_null(batch.column("text").cast(pa.large_string()), "")
-    langs = pc.fill_null(batch.column("lang").cast(pa.string()), "und")
-    ends = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False))
+    texts, langs = batch.column("text"), pc.fill_null(batch.column("lang"), "und")
+    ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64))
     at = 0
     while at < len(texts):
         size = max(1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + BLOCK, "right")) - at)
-        yield texts.slice(at, size), langs.slice(at, size)
+        yield pc.fill_null(texts.slice(at, size).cast(pa.large_string()), ""), langs.slice(at, size)
         at += size
 
 
-def _counted_windows(texts: pa.Array, langs: pa.Array, order: int) -> pa.RecordBatch:
-    """lang, lead (the first two words), w3 … and n of the distinct windows of some texts, sorted by their words' codes."""
-    kinds, low = _byte_kinds(), _lowered()
+def _words(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """All words of some texts, as a dictionary array, with the number of each one's piece and text."""
     offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
     raw = texts.buffers()[2]
     data = np.frombuffer(raw if raw is not None else b"", np.uint8)[offsets[0] : offsets[-1]]
     offsets = offsets - offsets[0]
-    kind = kinds[data]
+    kind = _byte_kinds()[data]
     inside = np.append(kind == 0, False)
     opens = np.zeros(len(data) + 1, bool)  # bytes that begin a text
     opens[offsets] = True
@@ -69,34 +67,51 @@ def _counted_windows(texts: pa.Array, langs: pa.Array, order: int) -> pa.RecordB
     starts = np.flatnonzero(inside & (opens | ~before))
     ends = np.flatnonzero(before & (opens | ~inside))
     piece = np.searchsorted(np.flatnonzero(opens[:-1] | (kind == 2)), starts, "right").astype(np.int32)
-    doc = np.searchsorted(offsets, starts, "right") - 1
+    doc = (np.searchsorted(offsets, starts, "right") - 1).astype(np.int32)
+    del opens, before, kind
+    ends -= starts
+    places = np.append(0, np.cumsum(ends))
+    words = pa.LargeStringArray.from_buffers(len(starts), pa.py_buffer(places), pa.py_buffer(_lowered()[data[inside[:-1]]]))
+    return words.dictionary_encode(), piece, doc
+
 
-    places = np.append(0, np.cumsum(ends - starts))
-    words = pa.LargeStringArray.from_buffers(len(starts), pa.py_buffer(places), pa.py_buffer(low[data[inside[:-1]]]))
-    words = words.dictionary_encode()
-    codes, langs = words.indices.to_numpy(), langs.dictionary_encode()
-    columns = {"lang": langs.indices.to_numpy()[doc], "w1": codes}
+def _counted_windows(texts: pa.Array, langs: pa.Array, order: int) -> pa.RecordBatch:
+    """lang, lead (the first two words), w3 … and n of the distinct windows of some texts; those that begin alike are neighbours."""
+    words, piece, doc = _words(texts)
+    langs = langs.dictionary_encode()
+    columns = [langs.indices.to_numpy()[doc], words.indices.to_numpy()]
+    del doc
     for k in range(1, order):
-        columns[f"w{k + 1}"] = later = np.full(len(codes), -1, np.int32)
-        if k < len(codes):
-            later[:-k] = np.where(piece[k:] == piece[:-k], codes[k:], -1)
-    del data, kind, inside, opens, before, starts, ends, piece, doc, places
-    counted = pa.table(columns).group_by(list(columns), use_threads=False).aggregate([([], "count_all")])
-    del columns, codes
-    # Windows that begin alike stand together.
-    first, second = (counted[c].to_numpy().astype(np.int64) for c in ("w1", "w2"))
-    table = counted.take(pa.array(np.argsort((first << 32) + second))).combine_chunks()
-    del counted, first, second
-
-    def spelled(column: str) -> pa.Array:
-        at = table[column].combine_chunks()
-        return words.dictionary.take(pc.if_else(pc.less(at, 0), None, at)).cast(pa.string())
-
-    lead = pc.binary_join_element_wise(spelled("w1"), spelled("w2"), " ", null_handling="skip")
-    rest = [spelled(f"w{k}") for k in range(3, order + 1)]
-    lang = langs.dictionary.take(table["lang"].combine_chunks())
+        later = np.full(len(piece), -1, np.int32)
+        if k < len(piece):
+            later[:-k] = np.where(piece[k:] == piece[:-k], columns[1][k:], -1)
+        columns.append(later)
+    # One number for each distinct window: its columns as digits, made small again where they would not fit.
+    key, size, base = columns[0].astype(np.int64), len(langs.dictionary), len(words.dictionary) + 1
+    for column in columns[1:]:
+        if size * base >= 1 << 63:
+            key = np.unique(key, return_inverse=True)[1]
+            size = len(key)
+        key *= base
+        key += column
+        key += 1
+        size *= base
+    place = np.argsort(key)
+    key = key[place]
+    heads = np.flatnonzero(np.append(True, key[1:] != key[:-1])[: len(key)])
+    n = np.diff(np.append(heads, len(key)))
+    place = place[heads]
+    del key, heads, piece
+
+    def spelled(k: int) -> pa.Array:
+        at = columns[k][place]
+        return words.dictionary.take(pa.array(at, mask=at < 0)).cast(pa.string())
+
+    lead = pc.binary_join_element_wise(spelled(1), spelled(2), " ", null_handling="skip")
+    rest = [spelled(k) for k in range(3, order + 1)]
+    lang = langs.dictionary.take(pa.array(columns[0][place]))
     names = ["lang", "lead", *(f"w{k}" for k in range(3, order + 1)), "n"]
-    return pa.record_batch([lang, lead, *rest, table["count_all"].combine_chunks().cast(pa.int64())], names=names)
+    return pa.record_batch([lang, lead, *rest, pa.array(n)], names=names)
 
 
 def windows(docs: DataFrame, order: int) -> DataFrame:
@@ -106,8 +121,11 @@ def windows(docs: DataFrame, order: int) -> DataFrame:
         for batch in batches:
             for texts, langs in _blocks(batch):
                 found = _counted_windows(texts, langs, order)
+                del texts, langs
                 for at in range(0, len(found), 1 << 16):
                     yield found.slice(at, 1 << 16)
+                del found
+                pa.default_memory_pool().release_unused()
 
     later = "".join(f", w{k} string" for k in range(3, order + 1))
     return docs.select(F.col("text").cast("string"), F.col("lang").cast("string")).mapInArrow(count, f"lang string, lead string{later}, n long")
