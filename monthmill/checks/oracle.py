@@ -41,6 +41,11 @@ CTE = {
             lpad(cast(c_custkey % 100 as varchar), 2, '0'), '-', lpad(cast(c_custkey * 7 % 10000 as varchar), 4, '0')) end "SSN",
         case when c_custkey % 13 = 0 then '_______' when ok % 5 = 0 then 'Media_Manager' else c_mktsegment end "Occupation",
         m snapshot_date from ord join customer on ck = c_custkey""",
+    "qcells": """select *, c % 7 = 4 as torn, c % 11 = 5 as long, c % 19 = 3 as undated, c % 13 = 2 and c % 8 < 4 as fed, c % 5 = 1 as quoted,
+        case when c % 19 = 3 then 'soon' else cast(snapshot_date as varchar) end as day
+        from (select *, cast("Customer_ID" as bigint) as c from attrs)""",
+    "qnamed": """select *, case when fed then replace("Name", '#', chr(10)) when quoted then 'a "quoted", ' || "Name" else "Name" end as n from qcells""",
+    "qlined": """select *, case when fed or quoted then '"' || replace(n, '"', '""') || '"' else n end as q from qnamed""",
     "fins": """select cast(ck as varchar) customer_id,
         concat(case when ok % 7 = 0 then '_' else '' end, cast(case when ok % 11 = 0 then -price else price end as varchar),
             case when ok % 5 = 0 then '_' else '' end) annual_income,
@@ -280,6 +285,14 @@ SQL = {
     "multi_snapshot_scan": f"select * replace ({LOAN_DOUBLES}) from loans",
     "csv_scan": "select * replace (cast(snapshot_date as varchar) as snapshot_date) from attrs",
     "csv_bronze": "select * from attrs",
+    "csv_quarantine": """
+        select "Customer_ID", n as "Name", "Age", "SSN", "Occupation", snapshot_date, null::varchar reason, null::varchar record
+        from qlined where not (torn or long or undated)
+        union all
+        select null, null, null, null, null, null, case when torn or long then 'cells' else 'date' end,
+          case when torn then concat_ws(',', "Customer_ID", "Name", "Age", "SSN")
+            else concat_ws(',', "Customer_ID", q, "Age", "SSN", "Occupation", day) || case when long then ',more' else '' end end
+        from qlined where torn or long or undated""",
     "rerun_over_snapshots": f"""select * replace ({LOAN_DOUBLES}, cast(tenure + case when snapshot_date {WINDOW} then 1 else 0 end as int)
         as tenure) from loans""",
     "read_during_rebuild": f"select * replace ({LOAN_DOUBLES}) from loans",

@@ -139,6 +139,20 @@ def csv_scan(spark, sf_dir):
     return read_csv(spark, raw, RAW_COLUMNS["attributes"])
 
 
+@query
+def csv_quarantine(spark, sf_dir):
+    """Bronze attributes from files with torn and too long lines, line feeds in cells and no dates; and all that was rejected."""
+    root = _scratch(spark)
+    lines = views.attribute_lines(spark, sf_dir).repartition("file").sortWithinPartitions("file", "place")
+    lines.select("file", "line").write.partitionBy("file").text(f"{root}/raw")
+    raw = read_csv(spark, f"{root}/raw/*", RAW_COLUMNS["attributes"], keep_rejects=True, multi_line=None)
+    built = stores.build_bronze(spark, raw, f"{root}/bronze", snapshot_dates(FIRST, LAST))
+    lost = spark.read.parquet(f"{root}/bronze_rejects")
+    if built.rejected != lost.count():
+        raise ValueError(f"{built.rejected} rows rejected")
+    return read_snapshots(spark, f"{root}/bronze").unionByName(lost.select("reason", "record"), allowMissingColumns=True)
+
+
 @query
 def csv_bronze(spark, sf_dir):
     """A bronze table kept as CSV, read back by date."""

@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..schemas import SNAPSHOT
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -138,3 +140,18 @@ def financials(spark: SparkSession, sf_dir: str) -> DataFrame:
         _every(33, "__-333333333333333333333333333__", text).alias("Monthly_Balance"),
         F.col("month").alias("snapshot_date"),
     )
+
+
+def attribute_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw attributes as lines of eight CSV files, ``file`` and ``line``, some of them torn, too long, quoted or undated."""
+    c, cells = F.col("Customer_ID").cast("long"), ["Customer_ID", "Name", "Age", "SSN", "Occupation", SNAPSHOT]
+    rows = attributes(spark, sf_dir).withColumn(SNAPSHOT, F.when(c % 19 == 3, "soon").otherwise(F.col(SNAPSHOT).cast("string")))
+    file = c % 8
+    # Only half of the files have cells with line feeds.
+    name = F.when((c % 13 == 2) & (file < 4), F.concat(F.lit('"'), F.replace("Name", F.lit("#"), F.lit("\n")), F.lit('"')))
+    name = name.when(c % 5 == 1, F.concat(F.lit('"a ""quoted"", '), F.col("Name"), F.lit('"'))).otherwise(F.col("Name"))
+    line = F.concat_ws(",", F.col("Customer_ID"), name, *cells[2:])
+    line = F.when(c % 7 == 4, F.concat_ws(",", *cells[:4])).when(c % 11 == 5, F.concat(line, F.lit(",more"))).otherwise(line)
+    lines = rows.select(file.cast("int").alias("file"), F.lit(1).alias("place"), line.alias("line"))
+    heads = spark.range(8).select(F.col("id").cast("int").alias("file"), F.lit(0).alias("place"), F.lit(",".join(cells)).alias("line"))
+    return lines.unionByName(heads)

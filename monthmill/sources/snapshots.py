@@ -15,6 +15,8 @@ from ..functions.dates import month_starts
 from ..schemas import SNAPSHOT
 from .ledger import VERSION, Ledger, Snapshot, publish
 
+#: The text of a CSV line that is no row of its table.
+CORRUPT = "_corrupt_record"
 EPOCH = date(1970, 1, 1)
 #: More than the days of any one write, so that a histogram of days never joins two of them.
 DAYS = 4096
@@ -24,18 +26,61 @@ class MissingSnapshot(LookupError):
     """A table or one of its snapshots does not exist."""
 
 
-def read_csv(spark: SparkSession, path: str | list[str], columns: list[str] | None = None) -> DataFrame:
+def read_csv(
+    spark: SparkSession,
+    path: str | list[str],
+    columns: list[str] | None = None,
+    keep_rejects: bool = False,
+    multi_line: bool | None = False,
+) -> DataFrame:
     """CSV with a header, every column as text.
 
     Types are enforced in silver, so a dirty cell in one month never changes
     a column's type and no pass over the data is spent on inference. With
     ``columns`` the header of every file is checked against them. Quotes in a
     cell are doubled.
+
+    ``keep_rejects`` (needs ``columns``) adds the column ``_corrupt_record``: the text of a line that has more or fewer cells
+    than there are columns, NULL for all others; see ``rejects``. ``multi_line`` lets cells have line feeds, and then a file
+    is read by one task; None looks for such files first and reads only these so.
     """
     reader = spark.read.option("header", True).option("escape", '"')
     if columns:
-        reader = reader.schema(", ".join(f"`{c}` string" for c in columns)).option("enforceSchema", False)
-    return reader.csv(path)
+        fields = [f"`{c}` string" for c in [*columns, *([CORRUPT] if keep_rejects else [])]]
+        reader = reader.schema(", ".join(fields)).option("enforceSchema", False).option("columnNameOfCorruptRecord", CORRUPT)
+    if multi_line is not None:
+        return reader.option("multiLine", multi_line).csv(path)
+    whole = _files_with_open_cells(spark, path)
+    if not whole:
+        return reader.csv(path)
+    rest = sorted({_plain(spark, f) for f in spark.read.text(path).inputFiles()} - set(whole))
+    found = reader.option("multiLine", True).csv(whole)
+    return found.unionByName(reader.option("multiLine", False).csv(rest)) if rest else found
+
+
+def _files_with_open_cells(spark: SparkSession, path: str | list[str]) -> list[str]:
+    """The files with a line that ends inside a quoted cell. One pass over the text; of it only names come back."""
+    closed = F.regexp_replace("value", r'(^|,)"[^"]*+(?:""[^"]*+)*+"(?=,|$)', "$1")
+    lines = spark.read.text(path).where(F.contains("value", F.lit('"'))).where(closed.rlike('(^|,)"'))
+    return sorted(_plain(spark, row[0]) for row in lines.select(F.col("_metadata.file_path")).distinct().collect())
+
+
+def _plain(spark: SparkSession, uri: str) -> str:
+    """The path that a file's URI stands for, in one spelling."""
+    return spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(uri)).toString()
+
+
+def rejects(raw: DataFrame) -> DataFrame:
+    """Rows that no snapshot gets: file, reason and the record itself.
+
+    ``cells``: a line with more or fewer cells than the table has columns, as it stands in the file. ``date``: a row without
+    a snapshot date, its cells as CSV. ``raw`` comes from ``read_csv`` with ``keep_rejects``.
+    """
+    cells = F.col(CORRUPT).isNotNull()
+    record = F.coalesce(CORRUPT, F.to_csv(F.struct(*(F.col(f"`{c}`") for c in raw.columns if c != CORRUPT)), {"escape": '"'}))
+    lost = raw.where(cells | F.col(SNAPSHOT).try_cast("date").isNull())
+    reason = F.when(cells, "cells").otherwise("date")
+    return lost.select(F.input_file_name().alias("file"), reason.alias("reason"), record.alias("record"))
 
 
 def month_spine(spark: SparkSession, start: str, end: str) -> DataFrame:
@@ -66,7 +111,9 @@ def at_snapshots(df: DataFrame, dates: list[str] | None) -> DataFrame:
 
 
 def ingest(raw: DataFrame, dates: list[str] | None = None) -> DataFrame:
-    """Bronze rows: the raw columns, with a typed snapshot date, of the given snapshots."""
+    """Bronze rows: the raw columns, with a typed snapshot date, of the given snapshots. Rejected lines are left out."""
+    if CORRUPT in raw.columns:
+        raw = raw.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
     return at_snapshots(raw.withColumn(SNAPSHOT, F.col(SNAPSHOT).try_cast("date")), dates).where(
         F.col(SNAPSHOT).isNotNull()
     )

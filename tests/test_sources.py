@@ -196,3 +196,49 @@ def test_changed_type_is_refused(spark, tmp_path):
     with pytest.raises(TypeError, match="v is int in some snapshots and string in others"):
         s.read_snapshots(spark, root)
     assert s.read_snapshots(spark, root, ["2023-02-01"]).first()["v"] == "x"
+
+
+# Rejected lines
+
+TORN = 'a,b,snapshot_date\n1,2,2023-01-01\n4,5\n6,7,2023-01-01,9\n"x\ny",1,2023-02-01\n"q""r",",",2023-02-01\n5"" pipe,1,2023-02-01\n8,9,soon\n1,,\n'
+
+
+def test_torn_lines_are_kept_apart(spark, tmp_path):
+    (tmp_path / "in put").mkdir()
+    (tmp_path / "in put" / "a.csv").write_text(TORN)
+    (tmp_path / "in put" / "b.csv").write_text("a,b,snapshot_date\n1,2,2023-01-01\n4\n")
+    columns, path = ["a", "b", "snapshot_date"], str(tmp_path / "in put")
+    raw = s.read_csv(spark, path, columns, keep_rejects=True, multi_line=None)
+    good = sorted(tuple(r)[:2] for r in s.ingest(raw).collect())
+    assert good == sorted([("1", "2"), ("1", "2"), ("x\ny", "1"), ('q"r', ","), ('5"" pipe', "1")])
+    lost = s.rejects(raw).collect()
+    assert sorted((r["reason"], r["record"]) for r in lost) == sorted(
+        [("cells", "4,5"), ("cells", "6,7,2023-01-01,9"), ("cells", "4"), ("date", "8,9,soon"), ("date", "1,,")]
+    )
+    assert {r["record"] for r in lost if r["file"].endswith("b.csv")} == {"4"}
+    # Good and rejected rows are all records of the files: 8 and 2 under their headers.
+    assert len(good) + len(lost) == 10
+
+
+def test_only_files_with_open_cells_are_read_whole(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('a\n"x\ny"\n')
+    (tmp_path / "b.csv").write_text('a\n"x ""y"", z"\n1"\n')
+    found = s._files_with_open_cells(spark, str(tmp_path))
+    assert [f.rsplit("/", 1)[1] for f in found] == ["a.csv"]
+    got = s.read_csv(spark, str(tmp_path), ["a"], keep_rejects=True, multi_line=None)
+    assert sorted(r["a"] for r in got.collect()) == ['1"', "x\ny", 'x "y", z']
+
+
+def test_bronze_keeps_its_rejects_until_there_are_none(spark, tmp_path):
+    from monthmill.plans import stores
+
+    columns, out = ["a", "b", "snapshot_date"], str(tmp_path / "bronze")
+    (tmp_path / "a.csv").write_text(TORN)
+    raw = s.read_csv(spark, str(tmp_path / "a.csv"), columns, keep_rejects=True, multi_line=None)
+    built = stores.build_bronze(spark, raw, out, ["2023-01-01", "2023-02-01"])
+    assert (built.rows, built.rejected, built.months) == (4, 4, {"2023-01-01": 1, "2023-02-01": 3})
+    assert spark.read.parquet(f"{out}_rejects").count() == 4
+    (tmp_path / "c.csv").write_text("a,b,snapshot_date\n1,2,2023-01-01\n")
+    clean = s.read_csv(spark, str(tmp_path / "c.csv"), columns, keep_rejects=True, multi_line=None)
+    assert stores.build_bronze(spark, clean, out, ["2023-01-01"]).rejected == 0
+    assert not (tmp_path / "bronze_rejects").exists() and s.read_snapshots(spark, out).count() == 4
