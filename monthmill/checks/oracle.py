@@ -338,6 +338,10 @@ SQL = {
         for n, p in (("median", 0.5), ("cap", 0.999))
     )
     + " from orders group by 1",
+    "window_quantile_sketches": """select cast(snapshot_date + to_months(k) as date) until, name,
+        cast(count(case when name[1] = 'a' then annual_income else monthly_inhand_salary end) as bigint) n, 1 as "within"
+        from cfins, (select cast(range as int) k from range(12)), (select unnest(['annual_income_median', 'annual_income_cap',
+            'monthly_inhand_salary_median', 'monthly_inhand_salary_cap']) as name) group by 1, 2""",
     "imputed_and_clipped": f"select customer_id, snapshot_date, {_real(*NUMERIC)} from clipped",
     "multi_hot_loan_types": MULTI_HOT.format(_hot(ENTRIES)),
     "multi_hot_loan_types_strip_and": MULTI_HOT.format(_hot(STRIPPED)),

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import snake_case
-from ..operators import profile
+from ..operators import profile, sketches
 from ..operators.encode import one_hot, vocabulary
 from ..operators.modes import fill_with_modes, modes
 from ..operators.quantiles import quantiles
@@ -363,6 +363,35 @@ def order_statistics(spark, sf_dir):
     return found.select("o_orderpriority", *(F.col(c).cast("string").alias(c) for c in found.columns[1:]))
 
 
+@query
+def window_quantile_sketches(spark, sf_dir):
+    """Medians and caps over the twelve months up to each month, from a stored sketch per month.
+
+    ``within`` says whether the rank that the value has among the window's rows is off by at most twice the stated error.
+    """
+    wanted = {c: {"median": 0.5, "cap": 0.999} for c in ("annual_income", "monthly_inhand_salary")}
+    rows, root = clean_financials(views.financials(spark, sf_dir)).select(SNAPSHOT, *wanted), _scratch(spark)
+    until = F.explode(F.sequence(F.col(SNAPSHOT), F.add_months(SNAPSHOT, 11), F.expr("interval 1 month"))).alias("until")
+    write_snapshots(sketches.quantile_sketches(rows, list(wanted), [SNAPSHOT]), root)
+    merged = sketches.merge_sketches(read_snapshots(spark, root).select("*", until), list(wanted), ["until"])
+    found = stage(sketches.sketch_quantiles(merged, wanted, ["until"]), root, "_found")
+
+    places = [(c, name, p) for c, named in wanted.items() for name, p in named.items()]
+    below, upto = (lambda c, name: F.count_if(F.col(c) < F.col(f"{c}_{name}"))), (lambda c, name: F.count_if(F.col(c) <= F.col(f"{c}_{name}")))
+    ranks = rows.select(*wanted, until).join(found, "until").groupBy("until").agg(
+        *[F.first(f"{c}_n").alias(f"{c}_n") for c in wanted],
+        *[f(c, name).alias(f"{c}_{name}_{i}") for c, name, _ in places for i, f in enumerate((below, upto))],
+    )
+    error = 2 * sketches.rank_error()
+
+    def row(c, name, p):
+        n, low, high = F.col(f"{c}_n"), F.col(f"{c}_{name}_0"), F.col(f"{c}_{name}_1")
+        within = (low <= (p + error) * n) & (high >= (p - error) * n)
+        return F.struct(F.lit(f"{c}_{name}").alias("name"), n.alias("n"), within.cast("int").alias("within"))
+
+    return ranks.select("until", F.inline(F.array(*(row(*place) for place in places))))
+
+
 @query
 def imputed_and_clipped(spark, sf_dir):
     cleaned = clean_financials(views.financials(spark, sf_dir))

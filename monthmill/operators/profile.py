@@ -140,11 +140,16 @@ def _auto_bins(df: DataFrame, column: str, whole: bool) -> Column:
     return F.greatest(F.coalesce(F.ceil(F.try_divide(reach, width)), F.lit(1)), F.lit(1))
 
 
+#: Bins per bandwidth of a density. With a bin's count and first two moments the error of a point is below 2e-11 of the kernel.
+BINS_PER_BANDWIDTH = 1024
+
+
 def density(df: DataFrame, column: str, points: int = 200, cut: float = 0.0) -> DataFrame:
     """Gaussian kernel density on an even grid, with Scott's bandwidth.
 
-    The grid reaches ``cut`` bandwidths beyond the least and greatest value.
-    One aggregate has a sum per grid point, so only ``points`` numbers per task are shuffled.
+    The grid reaches ``cut`` bandwidths beyond the least and greatest value. Rows only meet a fine grid of bins, whose counts
+    and moments combine map-side; the kernels are summed over the bins that hold anything, each by its Taylor series around
+    the bin's middle. So a row costs the same for any number of points, and what is shuffled does not grow with the rows.
     """
     values = df.select(F.col(column).cast("double").alias("v")).where("v is not null and not isnan(v)")
     base = values.agg(
@@ -160,14 +165,17 @@ def density(df: DataFrame, column: str, points: int = 200, cut: float = 0.0) ->
         ((F.col("high") - F.col("low") + 2 * cut * F.col("h")) / (points - 1)).alias("step"),
     )
     n, h, start, step = (spec.select(c).scalar() for c in ("n", "h", "start", "step"))
-    # From here on in bandwidths from the first grid point, so that a point is a constant times one column.
-    scaled = values.select(((F.col("v") - start) / h).alias("u"), (step / h).alias("s"))
-    away = [F.col("u") - p * F.col("s") for p in range(points)]
-    sums = scaled.agg(*[F.sum(F.exp(-z * z / 2)).alias(f"p{p}") for p, z in enumerate(away)])
-    rows = F.posexplode(F.array(*(f"p{p}" for p in range(points)))).alias("point", "sum")
+    # From here on in bandwidths from the first grid point.
+    placed = values.select(((F.col("v") - start) / h).alias("u")).select("u", F.floor(F.col("u") * BINS_PER_BANDWIDTH).alias("bin"))
+    middle = (F.col("bin") + 0.5) / BINS_PER_BANDWIDTH
+    off = F.col("u") - middle
+    bins = placed.groupBy("bin").agg(F.count(F.lit(1)).alias("rows"), F.sum(off).alias("m1"), F.sum(off * off).alias("m2"))
+    near = bins.select(middle.alias("u"), "rows", "m1", "m2", (step / h).alias("s"), F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("point"))
+    z = F.col("u") - F.col("point") * F.col("s")
+    kernels = F.exp(-z * z / 2) * (F.col("rows") - z * F.col("m1") + (z * z - 1) / 2 * F.col("m2"))
+    sums = near.groupBy("point").agg(F.sum(kernels).alias("sum"))
     return (
-        sums.select(rows)
-        .where("sum is not null")
+        sums.where("sum is not null")
         .select("point", (start + F.col("point") * step).alias("x"), (F.col("sum") / (n * h * sqrt(2 * pi))).alias("density"))
         .orderBy("point")
     )
