@@ -25,8 +25,8 @@ from monthmill.llm.common import staged
 # What ends a piece, what parts words.
 PIECE_ENDS, GAPS = b".,;:!?\x0a\x0b\x0c\x0d", b"\x20\x09"
 
-#: Characters of text that a task holds as arrays at a time, beside one longer text.
-BLOCK = 1 << 24
+#: Bytes of text whose windows a task counts together, and whose bytes it takes apart at a time, beside one longer text.
+BLOCK, STRETCH = 1 << 24, 1 << 20
 
 
 def _byte_kinds() -> np.ndarray:
@@ -42,19 +42,18 @@ def _lowered() -> np.ndarray:
     return low
 
 
-def _blocks(batch: pa.RecordBatch) -> Iterator[tuple[pa.Array, pa.Array]]:
-    """Texts and langs of runs of rows that hold at most BLOCK bytes, or one row."""
-    texts, langs = batch.column("text"), pc.fill_null(batch.column("lang"), "und")
+def _runs(texts: pa.Array, size: int) -> Iterator[tuple[int, int]]:
+    """Begin and length of runs of texts that hold at most `size` bytes, or one text."""
     ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64))
     at = 0
     while at < len(texts):
-        size = max(1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + BLOCK, "right")) - at)
-        yield pc.fill_null(texts.slice(at, size).cast(pa.large_string()), ""), langs.slice(at, size)
-        at += size
+        n = max(1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + size, "right")) - at)
+        yield at, n
+        at += n
 
 
-def _words(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
-    """All words of some texts, as a dictionary array, with the number of each one's piece and text."""
+def _taken_apart(texts: pa.Array) -> tuple[np.ndarray, ...]:
+    """Bytes and lengths of all words of some texts, one after another, and the number of each one's piece and text."""
     offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
     raw = texts.buffers()[2]
     data = np.frombuffer(raw if raw is not None else b"", np.uint8)[offsets[0] : offsets[-1]]
@@ -66,21 +65,30 @@ def _words(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
     before = np.append(False, inside[:-1])
     starts = np.flatnonzero(inside & (opens | ~before))
     ends = np.flatnonzero(before & (opens | ~inside))
-    piece = np.searchsorted(np.flatnonzero(opens[:-1] | (kind == 2)), starts, "right").astype(np.int32)
-    doc = (np.searchsorted(offsets, starts, "right") - 1).astype(np.int32)
-    del opens, before, kind
-    ends -= starts
-    places = np.append(0, np.cumsum(ends))
-    words = pa.LargeStringArray.from_buffers(len(starts), pa.py_buffer(places), pa.py_buffer(_lowered()[data[inside[:-1]]]))
-    return words.dictionary_encode(), piece, doc
+    piece = np.searchsorted(np.flatnonzero(opens[:-1] | (kind == 2)), starts, "right")
+    text = np.searchsorted(offsets, starts, "right") - 1
+    return _lowered()[data[inside[:-1]]], (ends - starts).astype(np.int32), piece.astype(np.int32), text.astype(np.int32)
+
+
+def _words(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """All words of some texts, as a dictionary array, with the number of each one's piece and text."""
+    parts, pieces = [], 0
+    for at, n in _runs(texts, STRETCH):
+        letters, lengths, piece, text = _taken_apart(pc.fill_null(texts.slice(at, n).cast(pa.large_string()), ""))
+        parts.append((letters, lengths, piece + np.int32(pieces), text + np.int32(at)))
+        pieces = int(parts[-1][2].max(initial=pieces))
+    letters, lengths, piece, text = map(np.concatenate, zip(*parts, strict=True))
+    places = np.append(0, np.cumsum(lengths))
+    words = pa.LargeStringArray.from_buffers(len(lengths), pa.py_buffer(places), pa.py_buffer(letters))
+    return words.dictionary_encode(), piece, text
 
 
 def _counted_windows(texts: pa.Array, langs: pa.Array, order: int) -> pa.RecordBatch:
     """lang, lead (the first two words), w3 … and n of the distinct windows of some texts; those that begin alike are neighbours."""
-    words, piece, doc = _words(texts)
+    words, piece, text = _words(texts)
     langs = langs.dictionary_encode()
-    columns = [langs.indices.to_numpy()[doc], words.indices.to_numpy()]
-    del doc
+    columns = [langs.indices.to_numpy()[text], words.indices.to_numpy()]
+    del text
     for k in range(1, order):
         later = np.full(len(piece), -1, np.int32)
         if k < len(piece):
@@ -119,9 +127,9 @@ def windows(docs: DataFrame, order: int) -> DataFrame:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for texts, langs in _blocks(batch):
-                found = _counted_windows(texts, langs, order)
-                del texts, langs
+            texts, langs = batch.column("text"), pc.fill_null(batch.column("lang"), "und")
+            for begin, size in _runs(texts, BLOCK):
+                found = _counted_windows(texts.slice(begin, size), langs.slice(begin, size), order)
                 for at in range(0, len(found), 1 << 16):
                     yield found.slice(at, 1 << 16)
                 del found
