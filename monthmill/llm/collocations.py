@@ -26,7 +26,7 @@ from monthmill.llm.common import staged
 PIECE_ENDS, GAPS = b".,;:!?\x0a\x0b\x0c\x0d", b"\x20\x09"
 
 #: Bytes of text whose windows a task counts together, and whose bytes it takes apart at a time, beside one longer text.
-BLOCK, STRETCH = 1 << 24, 1 << 20
+BLOCK, STRETCH = 1 << 23, 1 << 20
 
 
 def _byte_kinds() -> np.ndarray:
@@ -84,7 +84,7 @@ def _words(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
 
 
 def _counted_windows(texts: pa.Array, langs: pa.Array, order: int) -> pa.RecordBatch:
-    """lang, lead (the first two words), w3 … and n of the distinct windows of some texts; those that begin alike are neighbours."""
+    """pair (the first two words, a tab, the lang), w3 … and n of the distinct windows of some texts; like ones are neighbours."""
     words, piece, text = _words(texts)
     langs = langs.dictionary_encode()
     columns = [langs.indices.to_numpy()[text], words.indices.to_numpy()]
@@ -116,10 +116,11 @@ def _counted_windows(texts: pa.Array, langs: pa.Array, order: int) -> pa.RecordB
         return words.dictionary.take(pa.array(at, mask=at < 0)).cast(pa.string())
 
     lead = pc.binary_join_element_wise(spelled(1), spelled(2), " ", null_handling="skip")
+    # Words have no tab, and here no lang has one either.
+    known = pa.array([lang.replace("%", "%25").replace("\t", "%09") for lang in langs.dictionary.to_pylist()], pa.string())
+    pair = pc.binary_join_element_wise(lead, known.take(pa.array(columns[0][place])), "\t")
     rest = [spelled(k) for k in range(3, order + 1)]
-    lang = langs.dictionary.take(pa.array(columns[0][place]))
-    names = ["lang", "lead", *(f"w{k}" for k in range(3, order + 1)), "n"]
-    return pa.record_batch([lang, lead, *rest, pa.array(n)], names=names)
+    return pa.record_batch([pair, *rest, pa.array(n)], names=["pair", *(f"w{k}" for k in range(3, order + 1)), "n"])
 
 
 def windows(docs: DataFrame, order: int) -> DataFrame:
@@ -136,7 +137,7 @@ def windows(docs: DataFrame, order: int) -> DataFrame:
                 pa.default_memory_pool().release_unused()
 
     later = "".join(f", w{k} string" for k in range(3, order + 1))
-    return docs.select(F.col("text").cast("string"), F.col("lang").cast("string")).mapInArrow(count, f"lang string, lead string{later}, n long")
+    return docs.select(F.col("text").cast("string"), F.col("lang").cast("string")).mapInArrow(count, f"pair string{later}, n long")
 
 
 def phrase_counts(docs: DataFrame, max_words: int = 3, min_count: int = 10) -> DataFrame:
@@ -149,15 +150,16 @@ def phrase_counts(docs: DataFrame, max_words: int = 3, min_count: int = 10) -> D
     if max_words < 2:
         raise ValueError("phrases have two words at least")
     rest = [f"w{k}" for k in range(3, max_words + 1)]
-    met = windows(docs, max_words).repartition("lang", "lead")
+    met = windows(docs, max_words).repartition("pair")
     # The windows of a pair lie in one partition: how often each of their prefixes occurs is known without a shuffle, by one
     # sort. A number in front makes that sort fast.
-    known, pair = met.withColumn("pair", F.xxhash64("lang", "lead")), ["pair", "lang", "lead"]
+    known = met.withColumn("hash", F.xxhash64("pair"))
     for k in range(max_words, 1, -1):
-        known = known.withColumn(f"n{k}", F.sum("n").over(Window.partitionBy(*pair, *rest[: k - 2])))
-    spelled = {2: F.when(F.contains("lead", F.lit(" ")), F.substring_index("lead", " ", -1))} | {k: F.col(f"w{k}") for k in range(3, max_words + 1)}
+        known = known.withColumn(f"n{k}", F.sum("n").over(Window.partitionBy("hash", "pair", *rest[: k - 2])))
+    lead, lang = F.substring_index("pair", "\t", 1), F.substring_index("pair", "\t", -1)
+    spelled = {2: F.when(F.contains(lead, F.lit(" ")), F.substring_index(lead, " ", -1))} | {k: F.col(f"w{k}") for k in range(3, max_words + 1)}
     kept = [F.when(F.col(f"n{k}") >= min_count, word).alias(f"w{k}") for k, word in spelled.items()]
-    folded = known.select("lang", F.substring_index("lead", " ", 1).alias("w1"), *kept, "n")
+    folded = known.select(lang.alias("lang"), F.substring_index(lead, " ", 1).alias("w1"), *kept, "n")
     folded = folded.groupBy(*folded.columns[:-1]).agg(F.sum("n").alias("n"))
     words = [f"w{k}" for k in range(1, max_words + 1)]
     size = " + ".join(f"(1 - grouping({w}))" for w in words)
@@ -168,7 +170,8 @@ def phrase_counts(docs: DataFrame, max_words: int = 3, min_count: int = 10) -> D
     )
     # A prefix whose last word is padding is a shorter phrase, which has its own row.
     padded = F.get(F.array(F.lit(""), *words), F.col("size").cast("int")).isNull()
-    return rolled.where(~padded).select("lang", F.concat_ws(" ", *words).alias("phrase"), F.col("size").cast("int").alias("size"), "f")
+    lang = F.replace(F.replace("lang", F.lit("%09"), F.lit("\t")), F.lit("%25"), F.lit("%"))
+    return rolled.where(~padded).select(lang.alias("lang"), F.concat_ws(" ", *words).alias("phrase"), F.col("size").cast("int").alias("size"), "f")
 
 
 def _part(words: Column, begin: Column | int, length: Column | int) -> Column:

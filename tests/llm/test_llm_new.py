@@ -68,7 +68,7 @@ def langs(spark, rows):
 CORPUS = [
     ("New York is big. new york IS new!\tNew York, york New\x0bNEW york is", "en"), ("new york is big new york is big", "en"), ("a a a a a a a", None),
     ("a a b a a b a a b", "und"), ("É é É é. É é;é É 中文 中文 中文:中文 中文 x", "fr"), (None, "en"), ("", None), (" \t . ,,\n", "xx"), ("one", "one"),
-    ("new york is big", "fr"), ("big " * 40, "de"),
+    ("new york is big", "fr"), ("big " * 40, "de"), ("one two " * 20, "a\t%09 b%"),
 ]
 
 
@@ -102,7 +102,7 @@ def test_scores_beyond_64_bits(spark):
 def test_windows_of_any_text(texts, order):
     known, collocations.STRETCH = collocations.STRETCH, 8
     try:
-        found = collocations._counted_windows(pa.array(texts), pa.array(["en"] * len(texts)), order).to_pylist()
+        found = collocations._counted_windows(pa.array(texts), pa.array(["a\t%b"] * len(texts)), order).to_pylist()
     finally:
         collocations.STRETCH = known
     want = Counter()
@@ -110,8 +110,8 @@ def test_windows_of_any_text(texts, order):
         for words in pieces_of(text):
             for i in range(len(words)):
                 some = [*words[i : i + order], *[None] * order][:order]
-                want[" ".join(w for w in some[:2] if w), *some[2:]] += 1
-    assert {(r["lead"], *(r[f"w{k}"] for k in range(3, order + 1))): r["n"] for r in found} == want and len(found) == len(want)
+                want[" ".join(w for w in some[:2] if w) + "\ta%09%25b", *some[2:]] += 1
+    assert {(r["pair"], *(r[f"w{k}"] for k in range(3, order + 1))): r["n"] for r in found} == want and len(found) == len(want)
 
 
 # Resampling
