@@ -351,6 +351,7 @@ SQL = {
         credit_history_months, credit_history_months_total from encoded""",
     "silver_financial_features": "select * from sfins",
     "feature_join": "select * from joined",
+    "feature_join_of_buckets": "select * from joined",
     "snapshot_modes": "select * from emodes",
     "mode_imputed": f"""select customer_id, snapshot_date, {', '.join(SCALES)} from ({_filled("encoded", "emodes", SCALES)})""",
     "aggregated_features": "select * from saggr",
@@ -376,6 +377,7 @@ SQL = {
         for i, (c, t) in enumerate(INFO)
     ),
     "customer_lookup": "select * from cattrs where customer_id = '7'",
+    "customer_lookup_of_sorted": "select * from cattrs where customer_id = '7'",
     "age_range": "select min(age) min_age, max(age) max_age from ages",
     "age_counts": "select age, count(*) row_count from ages where age is not null group by age",
     "occupation_counts": """select "Occupation" occupation, count(*) row_count from attrs group by 1""",

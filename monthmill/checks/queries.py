@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from ..functions.text import snake_case
 from ..operators import profile, sketches
 from ..operators.encode import one_hot, vocabulary
+from ..operators.joins import lay_by_keys
 from ..operators.modes import fill_with_modes, modes
 from ..operators.quantiles import quantiles
 from ..operators.shape import column_info, rename, rows_equal
@@ -441,6 +442,16 @@ def feature_join(spark, sf_dir):
     return _doubles(join_features(*_silver_tables(spark, sf_dir)))
 
 
+@query
+def feature_join_of_buckets(spark, sf_dir):
+    """The feature join over silver tables that lie in buckets of its keys."""
+    root, number = _scratch(spark), int(spark.conf.get("spark.sql.shuffle.partitions"))
+    tables = zip(("attributes", "financials", "clickstream"), _silver_tables(spark, sf_dir), strict=True)
+    names = {name: f"{name}_{uuid.uuid4().hex}" for name in ("attributes", "financials", "clickstream")}
+    laid = [lay_by_keys(df, names[name], f"{root}/{name}", KEYS, number) for name, df in tables]
+    return _doubles(join_features(*laid))
+
+
 @query
 def snapshot_modes(spark, sf_dir):
     encoded = encode_financials(clean_financials(views.financials(spark, sf_dir)))
@@ -589,6 +600,14 @@ def customer_lookup(spark, sf_dir):
     return rows_equal(clean_attributes(views.attributes(spark, sf_dir)), "customer_id", "7")
 
 
+@query
+def customer_lookup_of_sorted(spark, sf_dir):
+    """The same customer in a table that is sorted by customer and has Bloom filters."""
+    root = _scratch(spark)
+    publish_snapshots(clean_attributes(views.attributes(spark, sf_dir)), root, lookup="customer_id")
+    return rows_equal(read_snapshots(spark, root), "customer_id", "7")
+
+
 @query
 def age_range(spark, sf_dir):
     return profile.value_range(_ages(spark, sf_dir), ["age"])

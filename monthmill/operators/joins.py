@@ -24,3 +24,15 @@ def join_all(sides: list[DataFrame], on: list[str]) -> DataFrame:
     for key, value in SKEW_SETTINGS.items():
         sides[0].sparkSession.conf.set(key, value)
     return reduce(lambda left, right: left.join(right, on), sides)
+
+
+def lay_by_keys(df: DataFrame, table: str, path: str, keys: list[str], buckets: int) -> DataFrame:
+    """Write ``df`` below ``path`` as a table of the catalog whose files are buckets of ``keys``, and read it back.
+
+    Tables of as many buckets of the same keys join and group by them without a shuffle, as often as they are read; what
+    each of them costs is this one. ``buckets`` should make files of some hundred MB. A hot key fills its bucket, which
+    cannot be split: such tables are for ``join_all``.
+    """
+    laid = df.repartition(buckets, *keys).sortWithinPartitions(*keys)
+    laid.write.bucketBy(buckets, *keys).sortBy(*keys).option("path", path).mode("overwrite").saveAsTable(table)
+    return df.sparkSession.table(table)

@@ -146,13 +146,15 @@ def publish_snapshots(
     format: str = "parquet",
     inputs: dict[str, dict[str, str]] | None = None,
     count_nulls: bool = False,
+    lookup: str | None = None,
 ) -> Written:
     """Replace the snapshots found in ``df``, all at once: until the end readers see the old ones, and after a failure too.
 
     Other snapshots of the table stay. A date of ``dates`` without rows is replaced by an empty snapshot, so that a rerun
     leaves nothing stale. Rows without a date are not written. ``rebalance`` gathers each snapshot into files of even size
     and splits a large snapshot over many tasks; rows that already lie by snapshot do not need it. ``inputs`` (by date) and,
-    with ``count_nulls``, the NULLs of every column are kept in the ledger.
+    with ``count_nulls``, the NULLs of every column are kept in the ledger. Files are sorted by the column ``lookup`` and have
+    Bloom filters on it, so that a read of one of its values opens few row groups.
     """
     spark, columns = df.sparkSession, [c for c in df.columns if c != SNAPSHOT]
     seen, day = Observation(), F.unix_date(SNAPSHOT)
@@ -162,9 +164,12 @@ def publish_snapshots(
     out = df.where(F.col(SNAPSHOT).isNotNull())
     if rebalance:
         out = out.hint("rebalance", SNAPSHOT)
+    options = {"header": True, "escape": '"'} if format == "csv" else {}
+    if lookup:
+        out = out.sortWithinPartitions(SNAPSHOT, lookup)
+        options[f"parquet.bloom.filter.enabled#{lookup}"] = True
     # Observed behind the shuffle, by the tasks that write: Spark counts each of these once, however often it was tried.
     out = out.observe(seen, *(F.histogram_numeric(v, F.lit(DAYS)).alias(f"days_{i}") for i, v in enumerate(per_day.values())))
-    options = {"header": True, "escape": '"'} if format == "csv" else {}
     schema = StructType([f for f in df.schema if f.name != SNAPSHOT]).json()
     counted: dict[str, dict[str, int]] = {}
 

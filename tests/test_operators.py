@@ -257,3 +257,55 @@ def test_density_matches_the_definition(spark):
     x = np.linspace(1, 9, 20)
     want = np.exp(-(((x[:, None] - np.array(data)) / h) ** 2) / 2).sum(1) / (len(data) * h * math.sqrt(2 * math.pi))
     assert np.allclose([r["x"] for r in got], x) and np.allclose([r["density"] for r in got], want)
+
+
+def test_buckets_of_the_same_keys_join_without_a_shuffle(spark, tmp_path):
+    from monthmill.operators.joins import join_all, lay_by_keys
+
+    sides = [spark.range(2000).selectExpr("id % 500 as k", "id % 3 as m", f"id as v{i}") for i in range(3)]
+    laid = [lay_by_keys(df, f"laid_{i}", str(tmp_path / f"t{i}"), ["k", "m"], 4) for i, df in enumerate(sides)]
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = join_all(laid, ["k", "m"])
+        counted = joined.groupBy("k", "m").count()
+        plan = counted._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan and "SelectedBucketsCount: 4 out of 4" in plan
+        assert sorted(map(tuple, joined.collect())) == sorted(map(tuple, join_all(sides, ["k", "m"]).collect()))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+        for i in range(3):
+            spark.sql(f"drop table laid_{i}")
+
+
+def test_sketches_stay_within_their_error(spark):
+    from monthmill.operators.sketches import merge_sketches, quantile_sketches, rank_error, sketch_quantiles
+
+    # Values are their own ranks, so a value's distance from the wanted rank can be read off.
+    n = 200_000
+    rows = spark.range(n).selectExpr("id % 24 as month", "cast((id * 7919) % 200000 as double) as v", "cast(null as double) as w")
+    odd = spark.createDataFrame([(0, float("nan"), None), (1, None, None)], "month long, v double, w double")
+    by_month = quantile_sketches(rows.unionByName(odd), ["v", "w"], ["month"], 1024).cache()
+    wanted = {"v": {f"q{i}": i / 100 for i in (0, 1, 50, 99, 100)}, "w": {"q": 0.5}}
+    got = sketch_quantiles(merge_sketches(by_month, ["v", "w"], [], 1024), wanted, []).first()
+    assert got["v_n"] == n and got["w_n"] == 0 and got["w_q"] is None
+    for i in (0, 1, 50, 99, 100):
+        assert abs(got[f"v_q{i}"] / n - i / 100) <= 3 * rank_error(1024)
+    assert max(len(r["v_sketch"]) for r in by_month.collect()) < 64 * 1024
+
+
+def test_density_of_few_and_far_values(spark):
+    import math
+
+    from monthmill.operators.profile import density
+
+    values = [-500.0, 0.0, 1.0, 1.0, 2.5, 8678.0, 17.25]
+    df = spark.createDataFrame([(v,) for v in [*values, None, float("nan")]], "v double")
+    mean = sum(values) / 7
+    h = math.sqrt(sum((v - mean) ** 2 for v in values) / 6) * 7**-0.2
+    got = density(df, "v", 50, cut=2.0).collect()
+    assert len(got) == 50 and abs(got[0]["x"] - (-500 - 2 * h)) < 1e-6
+    for r in got:
+        want = sum(math.exp(-(((r["x"] - v) / h) ** 2) / 2) for v in values) / (7 * h * math.sqrt(2 * math.pi))
+        assert abs(r["density"] - want) <= 1e-10 * max(want, 1e-6)
+    assert density(df.where("v = 1"), "v").collect() == [] and density(df.where("false"), "v").collect() == []

@@ -242,3 +242,22 @@ def test_bronze_keeps_its_rejects_until_there_are_none(spark, tmp_path):
     clean = s.read_csv(spark, str(tmp_path / "c.csv"), columns, keep_rejects=True, multi_line=None)
     assert stores.build_bronze(spark, clean, out, ["2023-01-01"]).rejected == 0
     assert not (tmp_path / "bronze_rejects").exists() and s.read_snapshots(spark, out).count() == 4
+
+
+def test_a_lookup_opens_few_row_groups(spark, tmp_path):
+    def read(root):
+        got = s.read_snapshots(spark, root).where("c = 'c4321'")
+        assert got.count() == 20 and {r["c"] for r in got.collect()} == {"c4321"}
+        scan = got._jdf.queryExecution().executedPlan().collectLeaves().head()
+        got.collect()
+        return scan.metrics().apply("numOutputRows").value()
+
+    rows = spark.range(200_000).selectExpr("concat('c', id % 10000) as c", "id as v", "uuid() as u", "date'2023-01-01' as snapshot_date")
+    spark.sparkContext._jsc.hadoopConfiguration().set("parquet.block.size", str(256 * 1024))
+    try:
+        s.publish_snapshots(rows, str(tmp_path / "plain"))
+        s.publish_snapshots(rows, str(tmp_path / "sorted"), lookup="c")
+    finally:
+        spark.sparkContext._jsc.hadoopConfiguration().unset("parquet.block.size")
+    assert read(str(tmp_path / "plain")) > 150_000
+    assert read(str(tmp_path / "sorted")) < 40_000
