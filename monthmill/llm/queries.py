@@ -58,8 +58,8 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Lines, dropped lines, and size and digest of what stays of every document."""
-    out = line_templates.dedup(table(spark, sf_dir, "documents", ["doc_id", "text"]))
+    """Lines, dropped lines (of any length), and size and digest of what stays of every document."""
+    out = line_templates.dedup(table(spark, sf_dir, "documents", ["doc_id", "text"]), min_words=1)
     return out.select("doc_id", "n_lines", "n_dropped", F.length("text").cast("long").alias("kept_chars"), F.md5(F.col("text").cast("binary")).alias("kept_md5"))
 
 
@@ -67,14 +67,17 @@ ORACLE_SQL["op5_line_dedup"] = r"""
 with each as (
   select doc_id, text, unnest(string_split(text, chr(10))) as line, generate_subscripts(string_split(text, chr(10)), 1) as pos
   from documents
-), worded as (
-  select doc_id, pos, line, string_split_regex(
+), marked as (
+  select doc_id, pos, line, string_split_regex(trim(line, e' \t\n\x0b\x0c\r'), '[\x20\x09-\x0D]+') as plain, string_split_regex(
     trim(regexp_replace(line, '[^\x20\x09-\x0D]*[0-9][^\x20\x09-\x0D]*', '<*>', 'g'), e' \t\n\x0b\x0c\r'),
     '[\x20\x09-\x0D]+') as words
   from each
+), worded as (
+  select doc_id, pos, line, case when len(words) < 4 and list_distinct(words) = ['<*>'] then plain else words end as words
+  from marked where plain <> ['']
 ), sized as (
   select *, len(words) as n, least(len(words), 16) as r, least(len(words), 16) * 3 // 16 as d, words[:3] as lead
-  from worded where len(words) >= 4
+  from worded
 ), cut as (
   select *, list_transform(range(r), lambda i: words[i * n // r + 1 : (i + 1) * n // r]) as runs from sized
 ), found as (select * exclude (line, lead), lead as head from cut),
