@@ -23,20 +23,19 @@ RUNS, VARIABLE = 16, 3
 SHORT = 4
 
 
-def _words(line: Column, short: bool) -> Column:
-    """The words of a line, those with a digit as wildcards; a blank line has an empty one. With `short`, lines of fewer than
-    `SHORT` words that would be wildcards only keep their words. The rarer repairs run only where they are needed.
+def _with_words(each: DataFrame, short: bool) -> DataFrame:
+    """`each` with the words of its lines, those with a digit as wildcards. With `short`, lines of fewer than `SHORT` words that
+    would be wildcards only keep their words. One column after another, so that each is worked out once; the rarer repairs
+    run only where they are needed.
     """
-    blanks = F.contains(line, F.lit("  "))
+    blanks = F.contains("line", F.lit("  "))
     for blank in BLANKS[1:]:
-        blanks = blanks | F.contains(line, F.lit(blank))
-    line = F.when(blanks, F.regexp_replace(line, r"[\x20\x09-\x0D]+", " ")).otherwise(line)
-    marked = F.when(F.regexp_like(line, F.lit("[0-9]")), F.regexp_replace(line, r"[^ ]*[0-9][^ ]*", WILDCARD)).otherwise(line)
-    marked = F.trim(marked)
-    if short:
-        bare = marked.isin([" ".join([WILDCARD] * n) for n in range(1, SHORT)])
-        marked = F.when(bare, F.trim(line)).otherwise(marked)
-    return F.split(marked, " ")
+        blanks = blanks | F.contains("line", F.lit(blank))
+    spaced = F.trim(F.when(blanks, F.regexp_replace("line", r"[\x20\x09-\x0D]+", " ")).otherwise(F.col("line")))
+    marked = F.when(F.regexp_like("line", F.lit("[0-9]")), F.regexp_replace("line", r"[^ ]*[0-9][^ ]*", WILDCARD)).otherwise(F.col("line"))
+    each = each.withColumn("line", spaced).withColumn("marked", marked)
+    bare = F.col("marked").isin([" ".join([WILDCARD] * n) for n in range(1, SHORT)]) if short else F.lit(False)
+    return each.withColumn("words", F.split(F.when(bare, F.col("line")).otherwise(F.col("marked")), " ")).drop("line", "marked")
 
 
 def _slices(items: Column, size: Column, parts: Column) -> Column:
@@ -53,12 +52,12 @@ def _row_key() -> Column:
 def lines(docs: DataFrame, depth: int = 3, min_words: int = 4) -> DataFrame:
     """Every line of at least `min_words` words, never a blank one: doc_id, row, pos (from 0), leaf and runs."""
     each = docs.select("doc_id", _row_key().alias("row"), F.posexplode(F.split(text_or_empty(), "\n")).alias("pos", "line"))
-    short = min_words < SHORT
-    words = each.select("doc_id", "row", "pos", _words(F.col("line"), short).alias("words"))
-    words = words.withColumn("n", F.size("words")).where(F.col("n") >= min_words)
-    if short:
-        words = words.where(F.get("words", F.lit(0)) != "")
-    return words.select(
+    # A condition on the words would split each line once more, so blank lines go by their text.
+    each = each.where(F.regexp_like("line", F.lit(r"[^\x20\x09-\x0D]")))
+    words = _with_words(each, min_words < SHORT)
+    if min_words > 1:
+        words = words.where(F.size("words") >= min_words)
+    return words.withColumn("n", F.size("words")).select(
         "doc_id",
         "row",
         "pos",
