@@ -27,6 +27,8 @@ PIECE_ENDS, GAPS = b".,;:!?\x0a\x0b\x0c\x0d", b"\x20\x09"
 
 #: Bytes of text whose windows a task counts together, and whose bytes it takes apart at a time, beside one longer text.
 BLOCK, STRETCH = 1 << 23, 1 << 20
+#: Parts of a lang whose best phrases are found first.
+PARTS = 32
 
 
 def _byte_kinds() -> np.ndarray:
@@ -160,7 +162,6 @@ def phrase_counts(docs: DataFrame, max_words: int = 3, min_count: int = 10) -> D
     spelled = {2: F.when(F.contains(lead, F.lit(" ")), F.substring_index(lead, " ", -1))} | {k: F.col(f"w{k}") for k in range(3, max_words + 1)}
     kept = [F.when(F.col(f"n{k}") >= min_count, word).alias(f"w{k}") for k, word in spelled.items()]
     folded = known.select(lang.alias("lang"), F.substring_index(lead, " ", 1).alias("w1"), *kept, "n")
-    folded = folded.groupBy(*folded.columns[:-1]).agg(F.sum("n").alias("n"))
     words = [f"w{k}" for k in range(1, max_words + 1)]
     size = " + ".join(f"(1 - grouping({w}))" for w in words)
     rolled = docs.sparkSession.sql(
@@ -210,7 +211,9 @@ def collocations(docs: DataFrame, max_words: int = 3, min_count: int = 10, insid
     left = scored.join(around, ["lang", "phrase"], "left").where(F.col("longer").isNull() | (F.col("longer") * 100 < F.col("a") * inside_percent))
     left = left.select("lang", "phrase", "a", "cut.l", "cut.r", "cut.score")
 
-    best = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    ranked = left.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= first)
+    # First the best of parts of each lang, so that no task sees more than PARTS * `first` phrases of one.
+    order, part = [F.desc("score"), F.desc("a"), "phrase"], F.pmod(F.xxhash64("phrase"), F.lit(PARTS)).alias("part")
+    some = left.select("*", part).withColumn("rank", F.row_number().over(Window.partitionBy("lang", "part").orderBy(*order))).where(F.col("rank") <= first)
+    ranked = some.drop("part").withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order))).where(F.col("rank") <= first)
     totals = counts.where("size = 0").select("lang", F.col("f").alias("n"))
     return ranked.join(totals, "lang").select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")
