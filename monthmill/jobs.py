@@ -48,10 +48,17 @@ def parser() -> argparse.ArgumentParser:
     return top
 
 
+def _raw(spark, path, source):
+    """Raw files; where their source is named, what no snapshot gets of them is kept."""
+    if source is None:
+        return read_csv(spark, path)
+    return read_csv(spark, path, RAW_COLUMNS[source], keep_rejects=True, multi_line=None)
+
+
 def run(spark, args) -> None:
     day = [getattr(args, "snapshot_date", None)]
     jobs = {
-        "bronze": lambda: stores.build_bronze(spark, read_csv(spark, args.raw, RAW_COLUMNS.get(args.source)), args.out, day),
+        "bronze": lambda: stores.build_bronze(spark, _raw(spark, args.raw, args.source), args.out, day),
         "silver-loans": lambda: stores.build_silver_loans(spark, args.bronze, args.out, day),
         "silver-attributes": lambda: stores.build_silver_attributes(spark, args.bronze, args.out, day),
         "silver-financials": lambda: stores.build_silver_financials(spark, args.bronze, args.out, day),
@@ -68,6 +75,8 @@ def run(spark, args) -> None:
         "vacuum": lambda: Ledger(spark, args.table).vacuum(args.keep),
     }
     built = jobs[args.command]()
+    if isinstance(built, stores.Built) and built.rejected:
+        print(f"{built.rejected} raw rows are kept apart in {args.out}_rejects", file=sys.stderr)
     if isinstance(built, stores.Built) and built.skipped:
         print(f"skipped for want of an input: {', '.join(built.skipped)}", file=sys.stderr)
 

@@ -8,9 +8,19 @@ from pyspark.sql import functions as F
 from ..functions.text import snake_case, split_list
 
 
-def vocabulary(df: DataFrame, column: str) -> list[str]:
-    """The sorted distinct non-NULL values of a column. They become columns, so the driver has to know them."""
-    return sorted(row[0] for row in df.select(column).where(F.col(column).isNotNull()).distinct().collect())
+#: Values that may become columns; more would be no schema any more.
+MOST_VALUES = 10_000
+
+
+def vocabulary(df: DataFrame, column: str, most: int = MOST_VALUES) -> list[str]:
+    """The sorted distinct non-NULL values of a column. They become columns, so the driver has to know them.
+
+    More than ``most`` are refused, before they all reach the driver.
+    """
+    found = df.select(column).where(F.col(column).isNotNull()).distinct().limit(most + 1).collect()
+    if len(found) > most:
+        raise ValueError(f"{column} has more than {most} values")
+    return sorted(row[0] for row in found)
 
 
 def one_hot(df: DataFrame, column: str, values: list[str], prefix: str) -> DataFrame:

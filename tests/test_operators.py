@@ -309,3 +309,12 @@ def test_density_of_few_and_far_values(spark):
         want = sum(math.exp(-(((r["x"] - v) / h) ** 2) / 2) for v in values) / (7 * h * math.sqrt(2 * math.pi))
         assert abs(r["density"] - want) <= 1e-10 * max(want, 1e-6)
     assert density(df.where("v = 1"), "v").collect() == [] and density(df.where("false"), "v").collect() == []
+
+
+def test_a_vocabulary_too_large_is_refused(spark):
+    from monthmill.operators.encode import vocabulary
+
+    df = spark.range(50).selectExpr("cast(id % 20 as string) as v")
+    assert len(vocabulary(df, "v", 20)) == 20
+    with pytest.raises(ValueError, match="v has more than 19 values"):
+        vocabulary(df, "v", 19)
