@@ -14,7 +14,7 @@ from monthmill.plans.financials import FINANCIAL_RENAMES, clean_financials, silv
 from monthmill.plans.loans import bad_rate_by_mob, gold_labels, silver_loans
 from monthmill.schemas import FIXED_CAPS, LOAN_KINDS, QUANTILE_CLIPPED
 from monthmill.functions.text import snake_case
-from monthmill.sources.snapshots import read_snapshots, snapshot_versions
+from monthmill.sources.snapshots import read_csv, read_snapshots, snapshot_versions
 
 D = date(2023, 3, 31)
 SF = "/root/testdata/sf0.001"
@@ -299,3 +299,41 @@ def test_null_report_is_that_of_the_table(spark, mart):
         want = null_report(read_snapshots(spark, table), ["snapshot_date"])
         got = read_snapshots(spark, f"{table}_nulls").select(*want.columns)
         assert got.count() == want.count() > 0 and got.exceptAll(want).count() == 0
+
+
+def _csv(folder, lines):
+    folder.mkdir()
+    (folder / "a.csv").write_text("\n".join(lines) + "\n")
+    return str(folder)
+
+
+@pytest.mark.parametrize("only_changed", [True, False])
+def test_bronze_of_large_raw_files_is_not_shuffled(spark, tmp_path, monkeypatch, only_changed):
+    lines = ["id,snapshot_date"] + [f"{i},2023-0{1 + i % 3}-01" for i in range(90)] + ["7,soon", "8", ""]
+    dates = ["2023-01-01", "2023-02-01", "2023-03-01", "2023-04-01"]
+    path = _csv(tmp_path / "raw", lines)
+    raw = lambda: read_csv(spark, path, ["id", "snapshot_date"], keep_rejects=True, multi_line=None)
+    plain = stores.build_bronze(spark, raw(), str(tmp_path / "plain"), dates, only_changed)
+    asked = []
+    monkeypatch.setattr(stores, "MOST_SHUFFLED", 0)
+    monkeypatch.setattr(stores, "gathered", lambda df, path, f=stores.gathered: asked.append(path) or f(df, path))
+    built = stores.build_bronze(spark, raw(), str(tmp_path / "large"), dates, only_changed)
+    assert asked and built == plain and built.months == plain.months and built.rejected == 2
+    tables = [sorted(map(str, read_snapshots(spark, str(tmp_path / t), dates).collect())) for t in ("plain", "large")]
+    assert tables[0] == tables[1] and len(tables[0]) == 90
+    assert not (tmp_path / "large_stage").exists() or not list((tmp_path / "large_stage").iterdir())
+
+
+def test_rejects_cost_no_scan_of_their_own_where_there_are_none(spark, tmp_path, monkeypatch):
+    raw = lambda path: read_csv(spark, path, ["id", "snapshot_date"], keep_rejects=True, multi_line=None)
+    torn, clean = _csv(tmp_path / "torn", ["id,snapshot_date", "1,2023-01-01", "2"]), _csv(tmp_path / "clean", ["id,snapshot_date", "1,2023-01-01"])
+    root, dates = str(tmp_path / "t"), ["2023-01-01"]
+    assert stores.build_bronze(spark, raw(torn), root, dates).rejected == 1 and (tmp_path / "t_rejects").exists()
+    scans = []
+    monkeypatch.setattr(stores, "rejects", lambda df, f=stores.rejects: scans.append(df) or f(df))
+    assert stores.build_bronze(spark, raw(clean), root, dates).rejected == 0
+    assert not scans and not (tmp_path / "t_rejects").exists()
+    # Also where no month is built.
+    assert stores.build_bronze(spark, raw(torn), root, []).rejected == 1 and len(scans) == 1
+    assert stores.build_bronze(spark, raw(clean), root, dates, only_changed=True).rejected == 0
+    assert stores.build_bronze(spark, raw(clean), root, dates, only_changed=True) == stores.Built()

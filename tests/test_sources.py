@@ -261,3 +261,19 @@ def test_a_lookup_opens_few_row_groups(spark, tmp_path):
         spark.sparkContext._jsc.hadoopConfiguration().unset("parquet.block.size")
     assert read(str(tmp_path / "plain")) > 150_000
     assert read(str(tmp_path / "sorted")) < 40_000
+
+
+def test_gathered_rows_lie_by_snapshot(spark, tmp_path, monkeypatch):
+    rows = [(i, f"2023-0{1 + i % 4}-01") for i in range(400)] + [(None, "2023-04-01")] * 3
+    df = frame(spark, rows).repartition(5).selectExpr("v", "cast(v % 7 as string) as `a b`", "if(v = 1, '', null) as t", "snapshot_date")
+    monkeypatch.setattr(s, "GATHERED", 1)
+    apart = s.gathered(df, str(tmp_path / "apart"))
+    monkeypatch.setattr(s, "GATHERED", 1 << 30)
+    together = s.gathered(df, str(tmp_path / "together"))
+    assert together.rdd.getNumPartitions() <= 2 and apart.rdd.getNumPartitions() >= 4
+    for got in (apart, together):
+        assert got.dtypes == df.dtypes
+        assert sorted(map(str, got.collect())) == sorted(map(str, df.collect()))
+    # No task has rows of two snapshots.
+    assert all(len(set(p)) <= 1 for p in apart.select("snapshot_date").rdd.map(lambda r: r[0]).glom().collect())
+    assert s.gathered(df.where("v < 0"), str(tmp_path / "none")).count() == 0
