@@ -337,3 +337,18 @@ def test_rejects_cost_no_scan_of_their_own_where_there_are_none(spark, tmp_path,
     assert stores.build_bronze(spark, raw(torn), root, []).rejected == 1 and len(scans) == 1
     assert stores.build_bronze(spark, raw(clean), root, dates, only_changed=True).rejected == 0
     assert stores.build_bronze(spark, raw(clean), root, dates, only_changed=True) == stores.Built()
+
+
+def test_bronze_of_very_large_raw_files_is_written_once(spark, tmp_path, monkeypatch):
+    lines = ["id,snapshot_date"] + [f"{i},2023-0{1 + i % 3}-01" for i in range(90)] + ["7,soon", "8"]
+    dates = ["2023-01-01", "2023-02-01", "2023-03-01", "2023-04-01"]
+    path = _csv(tmp_path / "raw", lines)
+    raw = lambda: read_csv(spark, path, ["id", "snapshot_date"], keep_rejects=True, multi_line=None)
+    plain = stores.build_bronze(spark, raw(), str(tmp_path / "plain"), dates)
+    monkeypatch.setattr(stores, "MOST_SHUFFLED", 0)
+    monkeypatch.setattr(stores, "MOST_GATHERED", 0)
+    monkeypatch.setattr(stores, "gathered", lambda df, path: pytest.fail("written twice"))
+    built = stores.build_bronze(spark, raw(), str(tmp_path / "large"), dates)
+    assert built == plain and built.months == plain.months and built.rejected == 2
+    tables = [sorted(map(str, read_snapshots(spark, str(tmp_path / t), dates).collect())) for t in ("plain", "large")]
+    assert tables[0] == tables[1] and len(tables[0]) == 90

@@ -277,3 +277,19 @@ def test_gathered_rows_lie_by_snapshot(spark, tmp_path, monkeypatch):
     # No task has rows of two snapshots.
     assert all(len(set(p)) <= 1 for p in apart.select("snapshot_date").rdd.map(lambda r: r[0]).glom().collect())
     assert s.gathered(df.where("v < 0"), str(tmp_path / "none")).count() == 0
+
+
+def test_read_by_snapshot_gathers_the_small_files_of_a_snapshot(spark, tmp_path, monkeypatch):
+    rows, root = [(i, f"2023-0{1 + i % 3}-01") for i in range(300)], str(tmp_path)
+    s.write_snapshots(frame(spark, rows).repartition(10), root, rebalance=False)
+    s.write_snapshots(frame(spark, [(7, "2023-02-01"), (None, "2023-02-01")]), root, ["2023-02-01", "2023-04-01"])
+    monkeypatch.setattr(s, "GATHERED", 1 << 30)
+    for dates in (None, ["2023-01-01", "2023-02-01"], ["2023-04-01"]):
+        got, want = s.read_by_snapshot(spark, root, dates), s.read_snapshots(spark, root, dates)
+        assert got.dtypes == want.dtypes and (got.isEmpty() or got.rdd.getNumPartitions() <= 2)
+        assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+    monkeypatch.setattr(s, "GATHERED", 1)
+    apart = s.read_by_snapshot(spark, root).select("snapshot_date").rdd.map(lambda r: r[0]).glom().collect()
+    assert all(len(set(p)) <= 1 for p in apart)
+    with pytest.raises(s.MissingSnapshot):
+        s.read_by_snapshot(spark, root, ["2024-01-01"])
