@@ -14,6 +14,7 @@ from monthmill.plans.financials import FINANCIAL_RENAMES, clean_financials, silv
 from monthmill.plans.loans import bad_rate_by_mob, gold_labels, silver_loans
 from monthmill.schemas import FIXED_CAPS, LOAN_KINDS, QUANTILE_CLIPPED
 from monthmill.functions.text import snake_case
+from monthmill.session import stage
 from monthmill.sources.snapshots import read_csv, read_snapshots, snapshot_versions
 
 D = date(2023, 3, 31)
@@ -352,3 +353,26 @@ def test_bronze_of_very_large_raw_files_is_written_once(spark, tmp_path, monkeyp
     assert built == plain and built.months == plain.months and built.rejected == 2
     tables = [sorted(map(str, read_snapshots(spark, str(tmp_path / t), dates).collect())) for t in ("plain", "large")]
     assert tables[0] == tables[1] and len(tables[0]) == 90
+
+
+def _shuffles(df):
+    """Exchanges of a plan, those by which a write gathers its rows too."""
+    return df._jdf.queryExecution().executedPlan().toString().count("Exchange")
+
+
+def test_silver_rows_by_snapshot_cost_one_shuffle(spark, tmp_path):
+    raw = views.financials(spark, SF).where("snapshot_date < date'1996-01-01'").localCheckpoint()
+    kept = {}
+    keep = lambda df, name: kept.setdefault(name, stage(df, str(tmp_path), name))
+    laid, plain = silver_financials(raw, keep=keep, by_snapshot=True), silver_financials(raw)
+    assert {"cleaned", "statistics", "ranges_0_0"} == set(kept)
+    assert laid.exceptAll(plain).count() == 0 and plain.exceptAll(laid).count() == 0
+    # The other exchange is that of the broadcast statistics.
+    assert _shuffles(laid) <= 2 and "rangepartitioning" in laid._jdf.queryExecution().executedPlan().toString()
+    months = [[r[0] for r in p] for p in laid.select("snapshot_date").rdd.map(lambda r: [r[0]]).glom().collect()]
+    ends = [(min(p), max(p)) for p in months if p]
+    assert all(a[1] <= b[0] for a, b in zip(ends, ends[1:]))
+    raw = views.attributes(spark, SF).where("snapshot_date < date'1996-01-01'").localCheckpoint()
+    some = ["BUILDING", "MediaManager"]
+    laid, plain = silver_attributes(raw, some, by_snapshot=True), silver_attributes(raw, some)
+    assert laid.exceptAll(plain).count() == 0 and plain.exceptAll(laid).count() == 0 and _shuffles(laid) == 1
