@@ -15,7 +15,7 @@ from monthmill.plans.loans import bad_rate_by_mob, gold_labels, silver_loans
 from monthmill.schemas import FIXED_CAPS, LOAN_KINDS, QUANTILE_CLIPPED
 from monthmill.functions.text import snake_case
 from monthmill.session import stage
-from monthmill.sources.snapshots import read_csv, read_snapshots, snapshot_versions
+from monthmill.sources.snapshots import gathered, read_csv, read_snapshots, snapshot_versions, write_snapshots
 
 D = date(2023, 3, 31)
 SF = "/root/testdata/sf0.001"
@@ -355,6 +355,72 @@ def test_bronze_of_very_large_raw_files_is_written_once(spark, tmp_path, monkeyp
     assert tables[0] == tables[1] and len(tables[0]) == 90
 
 
+def test_a_changed_month_is_read_again_from_its_own_files(spark, tmp_path, monkeypatch):
+    """The first build takes fingerprints from what it wrote; later ones from all raw rows, of which only the changed files are read again."""
+    folder, dates, root = tmp_path / "raw", ["2023-01-01", "2023-02-01", "2023-03-01", "2023-04-01"], str(tmp_path / "t")
+    folder.mkdir()
+
+    def drop(name, month, value, lost=()):
+        lines = ["id,loan_amt,snapshot_date", *(f"{i},{value + i},2023-0{month}-01" for i in range(40)), *lost]
+        (folder / f"{name} %.csv").write_text("\n".join(lines) + "\n")
+
+    def build():
+        raw = read_csv(spark, str(folder), ["id", "loan_amt", "snapshot_date"], keep_rejects=True, multi_line=None)
+        return raw, stores.build_bronze(spark, raw, root, dates, only_changed=True)
+
+    scanned, read = [], []
+    monkeypatch.setattr(stores, "_parts", lambda rows, file, f=stores._parts: scanned.append(rows.inputFiles()) or f(rows, file))
+    monkeypatch.setattr(stores, "_publish_bronze", lambda spark, raw, *more, f=stores._publish_bronze: read.append(raw.collect()) or f(spark, raw, *more))
+    for month in (1, 2, 3):
+        drop(f"m{month}", month, 0, ["7,soon"] if month == 1 else [])
+    raw, built = build()
+    assert built.rows == 120
+    assert built.rejected == 1 and len(scanned) == 1 and all("/t/version=" in f for f in scanned[0])
+    # The fingerprint is that of the raw rows: their number and two sums of their hashes.
+    wide = raw.where("_corrupt_record is null and snapshot_date = '2023-02-01'").selectExpr("id", "loan_amt", "cast(snapshot_date as date) as d")
+    sums = [wide.agg(F.sum(F.xxhash64(F.lit(i), "id", "loan_amt", "d").cast("decimal(38,0)"))).first()[0] for i in range(2)]
+    assert stores.Ledger(spark, root).current()["2023-02-01"].inputs == {"contents": f"40 {sums[0]} {sums[1]}"}
+    assert stores.Ledger(spark, root).current()["2023-04-01"].inputs == {"contents": "0"}
+    assert build()[1] == stores.Built(rejected=1) and len(read) == 1 and len(scanned[1]) == 3
+    drop("m2", 2, 1000)
+    drop("m4", 4, 0, ["8"])
+    raw, built = build()
+    assert built.months == {"2023-02-01": 40, "2023-04-01": 40} and built.rejected == 2 and len(scanned[2]) == 4
+    assert {str(r["snapshot_date"]) for r in read[1] if r["_corrupt_record"] is None} == {"2023-02-01", "2023-04-01"}
+    (folder / "m3 %.csv").unlink()
+    raw, built = build()
+    assert built.months == {"2023-03-01": 0} and not read[2]
+    stores.build_bronze(spark, raw, str(tmp_path / "new"), dates)
+    ours, theirs = (sorted(map(str, read_snapshots(spark, t, dates).collect())) for t in (root, str(tmp_path / "new")))
+    assert ours == theirs and len(ours) == 120
+
+
+def test_fingerprints_of_raw_rows_that_lie_in_no_file(spark, tmp_path):
+    rows = [(float("nan"), "2023-01-01"), (-0.0, "2023-01-01"), (None, "2023-02-01"), (1.5, None), (2.0, "soon")]
+    raw, root, dates = spark.createDataFrame(rows, "x double, snapshot_date string"), str(tmp_path / "t"), ["2023-01-01", "2023-02-01"]
+    assert stores.build_bronze(spark, raw, root, dates, only_changed=True).months == {"2023-01-01": 2, "2023-02-01": 1}
+    assert stores.build_bronze(spark, raw, root, dates, only_changed=True) == stores.Built()
+    more = raw.unionAll(spark.createDataFrame([(3.0, "2023-02-01")], raw.schema))
+    assert stores.build_bronze(spark, more, root, dates, only_changed=True).months == {"2023-02-01": 2}
+
+
+def test_seldom_repeated_columns_are_written_without_a_dictionary(spark, tmp_path):
+    import pyarrow.parquet as pq
+
+    rows = spark.range(1000).selectExpr("cast(id % 500 as string) as loan_id", "cast(id % 500 as float) as balance", "12 as tenure", "date'2023-01-01' as snapshot_date")
+    tables = {"published": lambda p: write_snapshots(rows, p), "gathered": lambda p: gathered(rows, p), "staged": lambda p: stage(rows, p, "x")}
+    for name, write in tables.items():
+        write(str(tmp_path / name))
+        files = list((tmp_path / name).rglob("*.parquet"))
+        assert files
+        for file in files:
+            group = pq.ParquetFile(file).metadata.row_group(0)
+            found = {group.column(i).path_in_schema: group.column(i).has_dictionary_page for i in range(group.num_columns)}
+            assert not found["loan_id"] and not found["balance"] and found["tenure"], name
+        got = spark.read.option("recursiveFileLookup", True).parquet(str(tmp_path / name)).selectExpr("loan_id", "balance", "tenure").distinct()
+        assert got.count() == 500
+
+
 def _shuffles(df):
     """Exchanges of a plan, those by which a write gathers its rows too."""
     return df._jdf.queryExecution().executedPlan().toString().count("Exchange")
